@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tessera.llm import bpe, fingerprints, licenses, quality_rules
+from tessera.llm import bpe, fingerprints, licenses, mixing, pii, quality_rules
 
-MODULES = (fingerprints, licenses, bpe, quality_rules)
+MODULES = (fingerprints, licenses, pii, bpe, mixing, quality_rules)
 
 
 def queries() -> dict:
