@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tessera.llm import bpe, fingerprints, licenses, mixing, pii, quality_rules
+from tessera.llm import bpe, fingerprints, licenses, mixing, pii, quality_rules, warc
 
-MODULES = (fingerprints, licenses, pii, bpe, mixing, quality_rules)
+MODULES = (fingerprints, licenses, warc, pii, bpe, mixing, quality_rules)
 
 
 def queries() -> dict:
