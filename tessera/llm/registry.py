@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tessera.llm import bpe, fingerprints, licenses, mixing, pii, quality_rules, warc
+from tessera.llm import bpe, fingerprints, licenses, mixing, near_duplicates, pii, quality_model, quality_rules, url_filter, warc
 
-MODULES = (fingerprints, licenses, warc, pii, bpe, mixing, quality_rules)
+MODULES = (near_duplicates, url_filter, fingerprints, licenses, warc, pii, bpe, mixing, quality_rules, quality_model)
 
 
 def queries() -> dict:
