@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-MODULES: tuple = ()
+from tessera.operators import consensus, relational
+
+MODULES = (consensus, relational)
 
 
 def queries() -> dict:
