@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tessera.operators import consensus, relational
+from tessera.operators import chemistry, consensus, quality, relational, retrieval, splits
 
-MODULES = (consensus, relational)
+MODULES = (consensus, relational, chemistry, quality, splits, retrieval)
 
 
 def queries() -> dict:
