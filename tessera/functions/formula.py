@@ -9,6 +9,7 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 #: Family patterns in order of precedence.
 FAMILY_PATTERNS = (
@@ -107,7 +108,7 @@ def reduce_formula(formula: str | None) -> str | None:
     return "".join(f"{e}{n if n != 1 else ''}" for e, n in parts)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def reduced_formula(formulas: pd.Series) -> pd.Series:
     """Nested brackets are beyond the built-in functions; batches come by Arrow and repeats are parsed once."""
     known = {f: reduce_formula(f) for f in formulas.dropna().unique()}

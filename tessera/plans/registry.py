@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tessera.operators import chemistry, consensus, quality, relational, retrieval, splits
+from tessera.operators import agreement, chemistry, consensus, models, quality, relational, retrieval, review, splits
+from tessera.streaming import feeds
 
-MODULES = (consensus, relational, chemistry, quality, splits, retrieval)
+MODULES = (consensus, relational, chemistry, agreement, quality, review, splits, retrieval, models, feeds)
 
 
 def queries() -> dict:
