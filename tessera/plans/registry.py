@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from tessera.operators import agreement, chemistry, consensus, extraction, models, quality, relational, retrieval, review, splits
+from tessera.operators import agreement, chemistry, consensus, curation, extraction, models, quality, relational, retrieval, review, splits
 from tessera.streaming import feeds
 
-MODULES = (consensus, relational, chemistry, extraction, agreement, quality, review, splits, retrieval, models, feeds)
+MODULES = (consensus, relational, chemistry, extraction, curation, agreement, quality, review, splits, retrieval, models, feeds)
 
 
 def queries() -> dict:
