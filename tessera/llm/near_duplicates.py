@@ -178,6 +178,13 @@ def _verify(threshold: float):
     return run
 
 
+def thinned(links: DataFrame) -> DataFrame:
+    """The same components from fewer links: of a member's leaders (one per band at most) the smallest leads the member and the other leaders."""
+    led = links.groupBy("b").agg(F.sort_array(F.collect_set("a")).alias("leaders"))
+    ends = F.explode(F.concat(F.array("b"), F.slice("leaders", 2, F.size("leaders"))))
+    return led.select(F.element_at("leaders", 1).alias("a"), ends.alias("b")).distinct()
+
+
 def jaccard_classes(docs: DataFrame, threshold: float = THRESHOLD, n: int = N, recall: float = TARGET_RECALL, rows: int = ROWS) -> DataFrame:
     """doc_id, class_id, n_links of every row of docs."""
     spark = docs.sparkSession
@@ -189,7 +196,7 @@ def jaccard_classes(docs: DataFrame, threshold: float = THRESHOLD, n: int = N, r
     reps = signed.join(named.select("hi", "lo", "v"), ["hi", "lo"]).where("doc_id = v").select("v", F.explode("bands").alias("band"))
     shared = reps.groupBy("band").agg(F.min("v").alias("a"), F.max("v").alias("z")).where("a < z").select("band", "a")
     links = reps.join(shared, "band").where("v <> a").select("a", F.col("v").alias("b")).distinct()
-    clusters = components(links)
+    clusters = components(thinned(links))
     blocks = clusters.groupBy("label").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     copies = named.groupBy("v").agg(F.max("copies").alias("copies"))
     active = written(clusters.join(blocks, "label").join(copies, "v").select("v", F.col("label").alias("cluster"), "blocks", "copies"), "active")
