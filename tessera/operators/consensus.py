@@ -47,11 +47,13 @@ def with_medians(ms: DataFrame, key: str = "material", value: str = "value") ->
 
 def consensus(ms: DataFrame, key: str = "material") -> DataFrame:
     """A row per group: size, papers, 10^ of log median, ends, confidence interval (n >= 3), MAD, deviation, grade, outliers."""
+    # papers are counted apart: a distinct count next to percentiles would keep a buffer of values per group and paper
+    papers = ms.where("value > 0").select(key, "paper").distinct().groupBy(key).agg(F.count("paper").alias("papers"))
     agg = with_medians(ms, key).groupBy(key).agg(
-        F.count(F.lit(1)).alias("n"), F.countDistinct("paper").alias("papers"), F.first("med").alias("med"), F.min("l").alias("lo"), F.max("l").alias("hi"),
+        F.count(F.lit(1)).alias("n"), F.first("med").alias("med"), F.min("l").alias("lo"), F.max("l").alias("hi"),
         F.percentile("l", F.array(F.lit(0.025), F.lit(0.975))).alias("ci"), F.median(F.abs(F.col("l") - F.col("med"))).alias("mad"),
         F.stddev_pop("l").alias("sd"), F.max(F.abs(F.col("l") - F.col("med"))).alias("dev"), F.count_if(F.abs(F.col("l") - F.col("med")) > OUTLIER_LOG10).alias("over"),
-    )
+    ).join(papers, key)
     several = F.col("n") >= 2
     r = lambda c: F.round(c, 6)
     return agg.select(
@@ -119,7 +121,8 @@ def noise_floor(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ea_consistency(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Median activation energy and the MEAN absolute difference to it, of materials with two papers or more."""
     ms = measurements(spark, sf_dir)
-    med = ms.groupBy("material").agg(F.median("ea").alias("med"), F.countDistinct("paper").alias("papers")).where("papers >= 2")
+    papers = ms.select("material", "paper").distinct().groupBy("material").agg(F.count("paper").alias("papers")).where("papers >= 2")
+    med = ms.groupBy("material").agg(F.median("ea").alias("med")).join(papers, "material")
     g = ms.join(med, "material").groupBy("material").agg(F.first("papers").alias("papers"), F.first("med").alias("m"), F.avg(F.abs(F.col("ea") - F.col("med"))).alias("d"))
     return g.select("material", "papers", F.round("m", 9).alias("median_ea"), F.round("d", 9).alias("mean_abs_dev"), (F.round("d", 9) > 0.02).alias("inconsistent"))
 
