@@ -56,8 +56,7 @@ def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[p
 
 def small(df: DataFrame, rows: int | None = None) -> DataFrame:
     """df with a broadcast hint if its counted rows are at most `rows`, else as it is."""
-    n = df.limit((rows or BROADCAST_ROWS) + 1).count()
-    return F.broadcast(df) if n <= (rows or BROADCAST_ROWS) else df
+    return F.broadcast(df) if df.count() <= (rows or BROADCAST_ROWS) else df
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
