@@ -64,6 +64,11 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def columns_of(docs: DataFrame) -> list[Column]:
+    """The columns of docs, whatever they are called."""
+    return [F.col(f"`{c.replace('`', '``')}`") for c in docs.columns]
+
+
 def texts(docs: DataFrame) -> DataFrame:
     """doc_id and text with null as empty; other columns are left behind, whatever they are called."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))

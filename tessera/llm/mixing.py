@@ -14,7 +14,7 @@ nothing but two numbers of their block, looked up by a join against the block ta
 
 Defined results: a null source is the source "" ; null and empty texts have no tokens, cost nothing and follow
 their block; rows that repeat a doc_id are placed one by one (equal rows fall together); other columns are
-ignored by the schedule and kept by mix; an empty table or one without tokens gives an empty schedule.
+ignored by the schedule and kept by mix, whatever they are called; an empty table or one without tokens gives an empty schedule.
 The number of sources is checked against MAX_SOURCES, since shares are bisected on the driver.
 """
 
@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tessera.llm.common import small, table, written
+from tessera.llm.common import columns_of, small, table, written
 
 BLOCK_ROWS = 256
 MAX_SOURCES = 100_000
@@ -174,8 +174,10 @@ def schedule(docs: DataFrame, plan: Plan | None = None) -> DataFrame:
 def mix(docs: DataFrame, **options) -> DataFrame:
     """docs with rows left out or repeated as the mixture holds them, with the columns of docs."""
     plan = Plan(docs, **options)
-    rows = plan.copies(docs).where("_copies > 0")
-    return rows.withColumn("_epoch", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+    # a row travels as one struct: none of its columns can meet one of the plan's
+    whole = docs.select("doc_id", _source().alias("source"), F.struct(*columns_of(docs)).alias("row"))
+    rows = plan.copies(whole).where("_copies > 0")
+    return rows.withColumn("_epoch", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select("row.*")
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import arrow_map, partitions, small, table, texts, written
+from tessera.llm.common import arrow_map, columns_of, partitions, small, table, texts, written
 from tessera.llm.graph import components
 
 N = 5
@@ -222,7 +222,7 @@ def one_of_each(docs: DataFrame, **options) -> DataFrame:
     """docs without the near copies: of each class the row of the smallest doc_id stays; rows without a doc_id stay."""
     classes = jaccard_classes(docs, **options)
     gone = written(classes.where("doc_id <> class_id").select("doc_id").distinct(), "copies")
-    return docs.join(small(gone), "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(small(gone), "doc_id", "left_anti").select(*columns_of(docs))
 
 
 def op1_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

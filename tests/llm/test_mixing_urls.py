@@ -3,6 +3,7 @@ from __future__ import annotations
 import collections
 
 import pytest
+from pyspark.sql import functions as F
 
 from tessera.llm import mixing
 from tessera.llm import url_filter as uf
@@ -47,6 +48,15 @@ def test_small_budget_and_entropy(spark):
     assert 3000 - 8 * len(plan.weights) <= total <= 3000
 
 
+def test_clashing_columns(spark):
+    docs, _ = corpus(spark)
+    names = ("turn", "full", "passes", "cut_id", "_source", "_block", "_copies", "_s", "row", "source.x")
+    odd = docs.withColumns({n: F.lit(k) for k, n in enumerate(names)})
+    got = mixing.mix(odd)
+    assert got.columns == odd.columns and got.count() == mixing.mix(docs).count()
+    assert got.where("turn <> 0 or `row` <> 8 or `source.x` <> 9").count() == 0
+
+
 def test_nothing(spark):
     docs, _ = corpus(spark)
     assert mixing.schedule(docs.limit(0)).count() == 0
