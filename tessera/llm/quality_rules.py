@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import let, small, table, written
+from tessera.llm.common import columns_of, let, small, table, written
 
 BLANK = r"\x20\x09-\x0D"
 STRATA = ("en", "de", "fr", "es")
@@ -63,32 +63,49 @@ def _ratio(a: Column, b: Column) -> Column:
     return F.coalesce(F.try_divide(a.cast("double"), b.cast("double")), F.lit(0.0))
 
 
-def measured(docs: DataFrame) -> DataFrame:
-    """doc_id, stratum, counts and ratios of every whole text."""
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+def _stratum(docs: DataFrame) -> Column:
+    lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
+    return F.when(lang.isin(*STRATA), lang).otherwise("other")
+
+
+def counts(text: Column) -> Column:
+    """A struct of the counts of a whole text."""
+    text = F.coalesce(text.cast("string"), F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(f"[^{BLANK}]"))
+    line_counts = let(lines, lambda x: F.struct(F.size(x).cast("long").alias("n"), (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("dup")))
 
-    def counts(words: Column) -> Column:
+    def of(words: Column, on_lines: Column) -> Column:
         return F.struct(
             F.size(words).cast("long").alias("n_words"),
             F.char_length(F.array_join(words, "")).cast("long").alias("word_chars"),
             F.char_length(F.regexp_replace(text, r"[^#*$%&|<>]+", "")).cast("long").alias("n_symbols"),
-            let(lines, lambda x: F.struct(F.size(x).cast("long").alias("n"), (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("dup"))).alias("lines"),
+            on_lines["dup"].alias("n_dup_lines"),
             _repeat_words(words).alias("n_repeat_words"),
+            on_lines["n"].alias("n_lines"),
         )
 
-    lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
-    m = let(F.regexp_extract_all(text, F.lit(f"([^{BLANK}]+)")), counts)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.when(lang.isin(*STRATA), lang).otherwise("other").alias("stratum"), m.alias("m"))
-    rows = rows.select("doc_id", "stratum", "m.n_words", "m.word_chars", "m.n_symbols", F.col("m.lines.dup").alias("n_dup_lines"), "m.n_repeat_words", F.col("m.lines.n").alias("n_lines"))
-    return rows.select(
-        *rows.columns,
-        _ratio(F.col("n_symbols"), F.col("n_words")).alias("symbol_ratio"),
-        _ratio(F.col("n_dup_lines"), F.col("n_lines")).alias("dup_line_ratio"),
-        _ratio(F.col("n_repeat_words"), F.col("n_words")).alias("repeat_ratio"),
-        _ratio(F.col("word_chars"), F.col("n_words")).alias("long_words"),
-        ((F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))).alias("base_failed"),
-    )
+    return let(F.regexp_extract_all(text, F.lit(f"([^{BLANK}]+)")), lambda words: let(line_counts, lambda x: of(words, x)))
+
+
+def ratios(m: Column) -> dict[str, Column]:
+    """What the rules judge, of a struct of counts."""
+    return {
+        "symbol_ratio": _ratio(m["n_symbols"], m["n_words"]),
+        "dup_line_ratio": _ratio(m["n_dup_lines"], m["n_lines"]),
+        "repeat_ratio": _ratio(m["n_repeat_words"], m["n_words"]),
+        "long_words": _ratio(m["word_chars"], m["n_words"]),
+    }
+
+
+def fails_base(m: Column) -> Column:
+    return (m["n_words"] < 20) | (100 * m["n_repeat_words"] > 30 * m["n_words"])
+
+
+def measured(docs: DataFrame) -> DataFrame:
+    """doc_id, stratum, counts and ratios of every whole text."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _stratum(docs).alias("stratum"), counts(F.col("text")).alias("m"))
+    m = F.col("m")
+    return rows.select("doc_id", "stratum", "m.*", *[c.alias(k) for k, c in ratios(m).items()], fails_base(m).alias("base_failed"))
 
 
 def binomial_at_most(n: Column, k: Column, p: float) -> Column:
@@ -133,10 +150,24 @@ def judged(measures: DataFrame, labels: DataFrame, rules: dict[str, tuple] | Non
 
 
 def apply_quality_rules(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """docs without the rejected: a doc_id goes if all its rows are rejected; rows without a doc_id stay or go one by one is not decidable by key, so they stay."""
-    verdicts = judged(written(measured(docs), "measures"), labels)
-    rejected = verdicts.groupBy("doc_id").agg(F.max("kept").alias("any")).where("not any and doc_id is not null").select("doc_id")
-    return docs.join(small(rejected), "doc_id", "left_anti").select(*docs.columns)
+    """docs without the rejected, row by row: a filter in the scan, so no text is shuffled. Only labelled documents are measured for the cutoffs."""
+    good = labels.where("quality = 1").select(F.col("doc_id").cast("long").alias("good_id")).distinct()
+    own = docs.select("doc_id", "text", _stratum(docs).alias("lang"))
+    fitted = own.join(small(good), F.col("doc_id") == F.col("good_id"), "left_semi")
+    cutoffs = certified_cutoffs(measured(fitted), labels).collect()  # at most len(STRATA) + 1 rows
+
+    def cutoff(rule: str) -> Column:
+        found = {r["stratum"]: r[f"{rule}_cutoff"] for r in cutoffs if r[f"{rule}_cutoff"] is not None}
+        chosen = F.lit(None).cast("double")
+        for stratum, value in found.items():
+            chosen = F.when(_stratum(docs) == stratum, F.lit(value)).otherwise(chosen)
+        return chosen
+
+    def keeps(m: Column) -> Column:
+        over = [F.coalesce(c > cutoff(rule), F.lit(False)) for rule, c in ratios(m).items()]
+        return ~fails_base(m) & ~F.array_contains(F.array(*over), True)
+
+    return docs.where(let(counts(F.col("text")), keeps)).select(*columns_of(docs))
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

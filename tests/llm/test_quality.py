@@ -56,6 +56,18 @@ def test_cutoffs_need_evidence(spark):
     assert qr.apply_quality_rules(docs.limit(0), labels).count() == 0
 
 
+def test_stage_agrees_with_verdicts_and_judges_rows_without_ids(spark):
+    docs, labels = labelled(spark, 3000)
+    good, bad = " ".join(f"v{j}" for j in range(40)), " ".join(f"u{j}***" for j in range(40))
+    odd = spark.createDataFrame([(None, good, "en"), (None, bad, "en"), (5, bad, "en"), (-1, bad, None), (-2, bad, "xx"), (-3, None, "en"), (-4, "short", "en")], docs.schema)
+    docs = docs.unionByName(odd)
+    rows = docs.withColumn("m", F.lit(1)).withColumn("a.b", F.lit(2))
+    verdicts = qr.judged(qr.measured(docs), labels).groupBy("doc_id").agg(F.count_if("kept").alias("n")).where("n > 0").collect()
+    got = qr.apply_quality_rules(rows, labels)
+    assert got.columns == rows.columns
+    assert collections.Counter(r.doc_id for r in got.collect()) == {r.doc_id: r.n for r in verdicts}
+
+
 def test_model_learns_and_never_reads_the_held_out_third(spark):
     docs, labels = labelled(spark, 300)
     weights = qm.fit(docs, labels)
