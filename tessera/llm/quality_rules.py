@@ -154,7 +154,8 @@ def apply_quality_rules(docs: DataFrame, labels: DataFrame) -> DataFrame:
     good = labels.where("quality = 1").select(F.col("doc_id").cast("long").alias("good_id")).distinct()
     own = docs.select("doc_id", "text", _stratum(docs).alias("lang"))
     fitted = own.join(small(good), F.col("doc_id") == F.col("good_id"), "left_semi")
-    cutoffs = certified_cutoffs(measured(fitted), labels).collect()  # at most len(STRATA) + 1 rows
+    # written, else the filter on base_failed would be pushed below and count every text several times
+    cutoffs = certified_cutoffs(written(measured(fitted), "measures"), labels).collect()  # at most len(STRATA) + 1 rows
 
     def cutoff(rule: str) -> Column:
         found = {r["stratum"]: r[f"{rule}_cutoff"] for r in cutoffs if r[f"{rule}_cutoff"] is not None}
