@@ -7,6 +7,7 @@ literature values, documents the evidence texts.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tessera.session import table
@@ -107,13 +108,29 @@ def incremental_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def provenance_best(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A record's best source by points for equal value, material and prefix; the first among equals. Candidates share the part."""
-    li = table(spark, sf_dir, "lineitem").where("l_linenumber = 1")
-    a = li.select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity")
-    b = table(spark, sf_dir, "lineitem").where("l_linenumber = 2").select("l_partkey", F.col("l_orderkey").alias("source"), F.col("l_suppkey").alias("s"), F.col("l_quantity").alias("q"))
-    points = F.when(F.abs(F.col("l_quantity") - F.col("q")) <= 5, 3.0).otherwise(0.0) + F.when(F.col("l_suppkey") == F.col("s"), 1.5).otherwise(0.0) + F.when(F.col("l_suppkey") % 10 == F.col("s") % 10, 2.0).otherwise(0.0)
-    best = a.join(b, "l_partkey").withColumn("p", points).groupBy("l_orderkey", "l_partkey").agg(F.max(F.struct(F.col("p"), (-F.col("source")).alias("m"))).alias("x"))
-    return best.select("l_orderkey", "l_partkey", (-F.col("x.m")).alias("source"), F.col("x.p").alias("points"))
+    """A record's best source by points for equal value, material and prefix; the first among equals. Candidates are all other records of the part.
+
+    Points hang on part, supplier and quantity alone: groups of these are paired, not records. The first two sources
+    of a group say what its best is to others and, without the record itself, to its own.
+    """
+    a = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
+    key = ["l_partkey", "l_suppkey", "l_quantity"]
+    first = a.withColumn("n", F.row_number().over(W.partitionBy(*key).orderBy("l_orderkey"))).where("n <= 2")
+    g = first.groupBy(*key).agg(F.min("l_orderkey").alias("s1"), F.max(F.when(F.col("n") == 2, F.col("l_orderkey"))).alias("s2"))
+    h = g.select("l_partkey", F.col("l_suppkey").alias("s"), F.col("l_quantity").alias("q"), F.col("s1").alias("source"))
+    points = lambda s, q: F.when(F.abs(F.col("l_quantity") - q) <= 5, 3.0).otherwise(0.0) + F.when(F.col("l_suppkey") == s, 1.5).otherwise(0.0) + F.when(F.col("l_suppkey") % 10 == s % 10, 2.0).otherwise(0.0)
+    same = F.col("l_suppkey").eqNullSafe(F.col("s")) & F.col("l_quantity").eqNullSafe(F.col("q"))
+    pairs = g.join(h, "l_partkey").select(*key, "s1", "s2", "source", F.when(~same, points(F.col("s"), F.col("q"))).alias("p"))
+    # a least source for every sum of points, since numbers are hashed where structs would be sorted
+    sums = (6.5, 5.0, 3.5, 3.0, 2.0, 0.0)
+    best = pairs.groupBy(*key, "s1", "s2").agg(*[F.min(F.when(F.col("p") == p, F.col("source"))).alias(f"m{k}") for k, p in enumerate(sums)])
+    choice = lambda p, source: F.when(source.isNotNull(), F.struct(p.alias("p"), (-source).alias("m")))
+    other = F.coalesce(*[choice(F.lit(p), F.col(f"m{k}")) for k, p in enumerate(sums)])
+    best = best.select(*[F.col(c).alias(f"_{c}") for c in key], "s1", "s2", other.alias("other"))
+    j = a.join(best, (F.col("l_partkey") == F.col("_l_partkey")) & F.col("l_suppkey").eqNullSafe(F.col("_l_suppkey")) & F.col("l_quantity").eqNullSafe(F.col("_l_quantity")))
+    own = choice(points(F.col("l_suppkey"), F.col("l_quantity")), F.when(F.col("s1") == F.col("l_orderkey"), F.col("s2")).otherwise(F.col("s1")))
+    x = j.select("l_orderkey", "l_linenumber", "l_partkey", F.greatest("other", own).alias("x")).where("x is not null")
+    return x.select("l_orderkey", "l_linenumber", "l_partkey", (-F.col("x.m")).alias("source"), F.col("x.p").alias("points"))
 
 
 def split_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -64,9 +64,9 @@ def papers_first_non_null(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def measurement_unpivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per populated property of a record."""
-    li = table(spark, sf_dir, "lineitem").where("l_linenumber = 1")
+    li = table(spark, sf_dir, "lineitem")
     pairs = F.expr("stack(3, 'discount', l_discount, 'tax', l_tax, 'quantity', l_quantity) as (property, value)")
-    return li.select("l_orderkey", pairs).where("value <> 0")
+    return li.select("l_orderkey", "l_linenumber", pairs).where("value <> 0")
 
 
 def first_occurrence_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
