@@ -47,3 +47,18 @@ def test_sources_of_any_line(spark, tmp_path):
             want.append((o, n, p, -m, points))
     sf = tables(spark, tmp_path, lineitem=(LINE, rows))
     assert found(QUERIES["provenance_best"](spark, sf)) == sorted(want)
+
+
+def test_components_of_every_shared_order(spark, tmp_path):
+    rows = [line(1, 1, supplier=1), line(1, 2, supplier=2, quantity=50.0, discount=0.1), line(2, 1, supplier=2), line(2, 3, supplier=5), line(3, 1, supplier=3), line(3, 2, supplier=4), line(4, 1, supplier=6)]
+    sf = tables(spark, tmp_path, lineitem=(LINE, rows), supplier=("s_suppkey long", [(k,) for k in range(1, 8)]))
+    label = {k: k for k in range(1, 8)}
+    for _ in label:
+        for a in rows:
+            for b in rows:
+                if a[0] == b[0]:
+                    label[a[3]] = label[b[3]] = min(label[a[3]], label[b[3]])
+    got = QUERIES["component_split"](spark, sf).collect()
+    assert {r["node"]: r["component"] for r in got} == label == {1: 1, 2: 1, 5: 1, 3: 3, 4: 3, 6: 6, 7: 7}
+    splits = {(r["component"], r["split"]) for r in got}
+    assert len(splits) == len(set(label.values()))
