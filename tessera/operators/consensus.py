@@ -162,11 +162,11 @@ def ensemble_vote(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def consensus_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Materials that lack papers up to a target of 40: benchmarks first, then the fewest additions; the first fifty."""
+    """Materials that lack papers up to a target of 40: benchmarks first, then the fewest additions."""
     c = measurements(spark, sf_dir).groupBy("material").agg(F.countDistinct("paper").alias("papers"))
     b = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("material"), (F.col("p_size") > 40).alias("benchmark"))
     need = c.join(b, "material").withColumn("need", 40 - F.col("papers")).where("need > 0")
-    return need.orderBy(F.desc("benchmark"), "need", "material").limit(50).select("material", "papers", "need", "benchmark")
+    return need.orderBy(F.desc("benchmark"), "need", "material").select("material", "papers", "need", "benchmark")
 
 
 def deficit_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:

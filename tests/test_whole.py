@@ -62,3 +62,11 @@ def test_components_of_every_shared_order(spark, tmp_path):
     assert {r["node"]: r["component"] for r in got} == label == {1: 1, 2: 1, 5: 1, 3: 3, 4: 3, 6: 6, 7: 7}
     splits = {(r["component"], r["split"]) for r in got}
     assert len(splits) == len(set(label.values()))
+
+
+def test_priority_of_every_material(spark, tmp_path):
+    rows = [line(1, 1, part=k) for k in range(1, 71)] + [line(2, 1, part=71, supplier=s) for s in range(40)]
+    part = ("p_partkey long, p_size int", [(k, 50 if k % 2 else 10) for k in range(1, 72)])
+    lines = (LINE + ", l_extendedprice double", [(*r, 100.0) for r in rows])
+    got = [tuple(r) for r in QUERIES["consensus_priority"](spark, tables(spark, tmp_path, lineitem=lines, part=part)).collect()]
+    assert got == [(k, 1, 39, True) for k in range(1, 71, 2)] + [(k, 1, 39, False) for k in range(2, 71, 2)]
