@@ -70,3 +70,9 @@ def test_priority_of_every_material(spark, tmp_path):
     lines = (LINE + ", l_extendedprice double", [(*r, 100.0) for r in rows])
     got = [tuple(r) for r in QUERIES["consensus_priority"](spark, tables(spark, tmp_path, lineitem=lines, part=part)).collect()]
     assert got == [(k, 1, 39, True) for k in range(1, 71, 2)] + [(k, 1, 39, False) for k in range(2, 71, 2)]
+
+
+def test_duplicates_of_every_record(spark, tmp_path):
+    rows = [line(k, k % 7 + 1) for k in range(25)] + [line(30, 1, part=2), line(31, 1, part=3, flag=None), line(32, 2, part=3, flag=None)]
+    got = QUERIES["duplicate_measurements"](spark, tables(spark, tmp_path, lineitem=(LINE, rows))).select("l_orderkey", "l_linenumber", "n")
+    assert found(got) == [(k, k % 7 + 1, 25) for k in range(25)] + [(31, 1, 2), (32, 2, 2)]
