@@ -66,7 +66,7 @@ def word_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def term_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = postings(table(spark, sf_dir, "documents"), "doc_id")
-    return p.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("tf")).where("df >= 100")
+    return p.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("tf"))
 
 
 def bm25_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

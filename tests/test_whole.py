@@ -76,3 +76,8 @@ def test_duplicates_of_every_record(spark, tmp_path):
     rows = [line(k, k % 7 + 1) for k in range(25)] + [line(30, 1, part=2), line(31, 1, part=3, flag=None), line(32, 2, part=3, flag=None)]
     got = QUERIES["duplicate_measurements"](spark, tables(spark, tmp_path, lineitem=(LINE, rows))).select("l_orderkey", "l_linenumber", "n")
     assert found(got) == [(k, k % 7 + 1, 25) for k in range(25)] + [(31, 1, 2), (32, 2, 2)]
+
+
+def test_statistics_of_every_term(spark, tmp_path):
+    sf = tables(spark, tmp_path, documents=("doc_id long, text string", [(k, "Common common") for k in range(120)] + [(200, "rare\tcommon"), (201, None), (202, " ")]))
+    assert found(QUERIES["term_statistics"](spark, sf).select("term", "df", "tf")) == [("common", 121, 241), ("rare", 1, 1)]
