@@ -31,7 +31,7 @@ def literature_status(value: Column, exact: Column, prefix: Column) -> Column:
 
 def evidence_attach(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").where("o_orderstatus = 'O'").select("o_orderkey", (F.col("o_custkey") % 50).alias("k"))
-    c = table(spark, sf_dir, "conversations").select((F.col("conv_id") % 50).alias("k"), F.substring("text", 1, 40).alias("snippet"))
+    c = table(spark, sf_dir, "conversations").select((F.col("conv_id") % 50).alias("k"), F.col("text").alias("snippet"))
     return attach_longest(o, c, ["k"], "snippet").select("o_orderkey", "snippet")
 
 

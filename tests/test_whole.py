@@ -81,3 +81,11 @@ def test_duplicates_of_every_record(spark, tmp_path):
 def test_statistics_of_every_term(spark, tmp_path):
     sf = tables(spark, tmp_path, documents=("doc_id long, text string", [(k, "Common common") for k in range(120)] + [(200, "rare\tcommon"), (201, None), (202, " ")]))
     assert found(QUERIES["term_statistics"](spark, sf).select("term", "df", "tf")) == [("common", 121, 241), ("rare", 1, 1)]
+
+
+def test_evidence_of_whole_texts(spark, tmp_path):
+    short, long = "z" * 41, "a" * 40 + " and the rest of the longest text"
+    orders = ("o_orderkey long, o_custkey long, o_orderstatus string", [(1, 1, "O"), (2, 2, "O"), (3, 3, "O"), (4, 1, "F")])
+    talks = ("conv_id long, text string", [(1, short), (51, long), (2, "b" * 60), (52, "c" * 60), (2, None)])
+    got = QUERIES["evidence_attach"](spark, tables(spark, tmp_path, orders=orders, conversations=talks)).collect()
+    assert {r["o_orderkey"]: r["snippet"] for r in got} == {1: long, 2: "c" * 60, 3: None}
