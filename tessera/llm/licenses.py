@@ -54,6 +54,8 @@ STRENGTH = {"or": 1, "and": 2, "with": 3}
 #: Bytes to lower case; what the words' pattern leaves out becomes a blank.
 FOLD = bytes(c + 32 if 0x41 <= c <= 0x5A else 0x20 if c <= 0x2F or 0x3A <= c <= 0x60 or 0x7B <= c <= 0x7F else c for c in range(256))
 TOKEN = re.compile(r"[()]|[A-Za-z0-9.+:-]+")
+#: A word that the scan keeps and no phrase holds.
+GAP = " \uffff "
 TAG_LINE = re.compile(r"SPDX-License-Identifier:[ \t]*([^\r\n]*)", re.I)
 
 
@@ -65,30 +67,47 @@ def freedom(label: str) -> float:
     return UNKNOWN
 
 
-def to_postfix(expression: str) -> list[str] | None:
-    """Shunting yard; the expression ends at the first token that can't follow. None if no valid one stands there."""
-    out: list[str] = []
-    stack: list[str] = []
+def leading(expression: str) -> tuple[list[str], int]:
+    """The tokens up to the first that can't follow, and where the last of them ends."""
+    found: list[str] = []
+    depth, end = 0, 0
     operand = True  # what is due next
-    for token in TOKEN.findall(expression):
-        word = token.lower()
+    for m in TOKEN.finditer(expression):
+        word = m[0].lower()
         if operand and word == "(":
-            stack.append(word)
+            depth += 1
         elif operand and word not in STRENGTH and word != ")":
-            out.append(word)
             operand = False
         elif not operand and word in STRENGTH:
-            while stack and stack[-1] != "(" and STRENGTH[stack[-1]] >= STRENGTH[word]:
-                out.append(stack.pop())
-            stack.append(word)
             operand = True
-        elif not operand and word == ")" and "(" in stack:
+        elif not operand and word == ")" and depth:
+            depth -= 1
+        else:
+            break
+        found.append(word)
+        end = m.end()
+    return found, end
+
+
+def to_postfix(expression: str) -> list[str] | None:
+    """Shunting yard; the expression ends at the first token that can't follow. None if no valid one stands there."""
+    out: list[str] = []
+    stack: list[str] = []
+    tokens, _ = leading(expression)
+    for word in tokens:
+        if word == "(":
+            stack.append(word)
+        elif word == ")":
             while stack[-1] != "(":
                 out.append(stack.pop())
             stack.pop()
+        elif word in STRENGTH:
+            while stack and stack[-1] != "(" and STRENGTH[stack[-1]] >= STRENGTH[word]:
+                out.append(stack.pop())
+            stack.append(word)
         else:
-            break
-    if operand or "(" in stack:
+            out.append(word)
+    if not tokens or tokens[-1] in STRENGTH or "(" in stack:
         return None
     return out + stack[::-1]
 
@@ -106,8 +125,9 @@ def evaluate(postfix: list[str]) -> float:
 
 
 def identifiers(expression: str) -> list[str]:
-    """The licences of a broken expression."""
-    return [t.lower() for t in TOKEN.findall(expression)[:1] if t.lower() not in STRENGTH and t not in "()"]
+    """The licences of a broken expression: its operands up to the first token that can't follow, without exceptions."""
+    tokens, _ = leading(expression)
+    return [t for k, t in enumerate(tokens) if t not in STRENGTH and t not in "()" and (not k or tokens[k - 1] != "with")]
 
 
 def automaton(base: dict[str, str], notices: dict[str, str]) -> ahocorasick.Automaton:
@@ -118,9 +138,19 @@ def automaton(base: dict[str, str], notices: dict[str, str]) -> ahocorasick.Auto
     return found
 
 
-def scan(text: str, finder: ahocorasick.Automaton) -> tuple[int, int, int | None, int | None, str, str, float]:
+def flatten(text: str) -> tuple[str, int]:
+    """The words of a text between single blanks, and their number."""
     words = text.encode("utf-8", "surrogatepass").translate(FOLD).split()
-    flat = " " + b" ".join(words).decode("utf-8", "surrogatepass") + " "
+    return " " + b" ".join(words).decode("utf-8", "surrogatepass") + " ", len(words)
+
+
+def phrase_labels(text: str, finder: ahocorasick.Automaton) -> set[str]:
+    """The labels of a text's phrases."""
+    return {label for _, (_, *both) in finder.iter(flatten(text)[0]) for label in both if label is not None}
+
+
+def scan(text: str, finder: ahocorasick.Automaton) -> tuple[int, int, int | None, int | None, str, str, float]:
+    flat, n_words = flatten(text)
     n_base, first, last, tagged = 0, None, None, False
     base_labels, labels = set(), set()
     at, blanks = 0, 0
@@ -136,19 +166,28 @@ def scan(text: str, finder: ahocorasick.Automaton) -> tuple[int, int, int | None
         if notice is not None:
             labels.add(notice)
         tagged |= phrase == TAG
-    values = []
+    labels |= base_labels
+    values, chosen = [], set()
+    # what stands outside the expressions, with a word in their place that is in no phrase
+    outside, at = [], 0
     if tagged:
         for m in TAG_LINE.finditer(text):
             postfix = to_postfix(m[1])
             if postfix is None:
-                labels.update(identifiers(m[1]))
+                broken = identifiers(m[1])
+                labels.update(broken)
+                values.extend(map(freedom, broken))
                 continue
             exceptions = {k - 1 for k, t in enumerate(postfix) if t == "with"}
-            labels.update(t for k, t in enumerate(postfix) if t not in STRENGTH and k not in exceptions)
+            chosen.update(t for k, t in enumerate(postfix) if t not in STRENGTH and k not in exceptions)
             values.append(evaluate(postfix))
-    labels |= base_labels
-    score = min(values) if values else min(map(freedom, labels)) if labels else None
-    return len(words), n_base, first, last, ",".join(sorted(base_labels)), ",".join(sorted(labels)), 0.0 if score is None else 1.0 - score
+            outside += [text[at : m.start(1)], GAP]
+            at = m.start(1) + leading(m[1])[1]
+    # a phrase inside an expression is the expression's: its reader may choose another operand
+    values.extend(map(freedom, phrase_labels("".join([*outside, text[at:]]), finder) if outside else labels))
+    labels |= chosen
+    score = min(values, default=None)
+    return n_words, n_base, first, last, ",".join(sorted(base_labels)), ",".join(sorted(labels)), 0.0 if score is None else 1.0 - score
 
 
 SCHEMA = "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double"
