@@ -13,7 +13,7 @@ totals (a row per block) are summed over a source, so that a hot source meets in
 nothing but two numbers of their block, looked up by a join against the block table.
 
 Defined results: a null source is the source "" ; null and empty texts have no tokens, cost nothing and follow
-their block; rows that repeat a doc_id are placed one by one (equal rows fall together); other columns are
+their block; a source of such texts alone is passed over once; rows that repeat a doc_id are placed one by one (equal rows fall together); other columns are
 ignored by the schedule and kept by mix, whatever they are called; an empty table or one without tokens gives an empty schedule.
 The number of sources is checked against MAX_SOURCES, since shares are bisected on the driver.
 """
@@ -116,7 +116,7 @@ class Plan:
         self.budget = budget
         spark = docs.sparkSession
         rows_of = {r["source"]: r["rows"] for r in found}
-        quotas = [(s, w * budget, float(tokens[s]), max(1, round(rows_of[s] / BLOCK_ROWS))) for s, w in self.weights.items() if w > 0]
+        quotas = [(s, w * budget, float(tokens[s]), max(1, round(rows_of[s] / BLOCK_ROWS))) for s, w in self.weights.items() if w > 0 or not tokens[s]]
         self.sources = spark.createDataFrame(quotas, "source string, quota double, tokens double, blocks long")
         self.blocks = written(self._blocks(rows), "blocks")
 
@@ -140,7 +140,8 @@ class Plan:
         inside = F.sum("block_tokens").over(W.partitionBy("_source", "slice").orderBy("turn", "_block")) - F.col("block_tokens")
         q = self.sources.select(F.col("source").alias("_source"), "quota", F.col("tokens").alias("total"))
         known = slices.withColumn("inside", inside).join(before, ["_source", "slice"]).join(small(q), "_source")
-        known = known.withColumn("passes", F.floor(F.col("quota") / F.col("total") + 1e-9).cast("long"))
+        # a source without tokens costs nothing and is passed over once
+        known = known.withColumn("passes", F.when(F.col("total") == 0, 1).otherwise(F.floor(F.try_divide("quota", "total") + 1e-9)).cast("long"))
         rest = F.greatest(F.lit(0.0), F.col("quota") - F.col("passes") * F.col("total") - F.col("before") - F.col("inside"))
         known = known.withColumn("rest", rest)
         ended = known.where((F.col("rest") > 0) & (F.col("rest") < F.col("block_tokens"))).select("_source", "_block", "rest")
