@@ -1,19 +1,26 @@
 """WARC archives and their index: write, read back, and merge capture histories.
 
 Writing. A record is a text: header lines, a blank line, the payload. The text writer ends records with
-CRLF CRLF, as WARC does, so a part file is a (gzipped) WARC file, committed by Spark's own protocol to any
-file system that Spark writes to. Files hold RECORDS_PER_FILE records at most. Of records with equal payloads that
-of the largest page_id is the response; the others are revisits that name it and carry no payload.
+CRLF CRLF, as WARC does, so a part file is a WARC file, committed by Spark's own protocol to any
+file system that Spark writes to. Pages are written by size class (CLASSES), each with its number of records a file,
+so that a file holds about 128 MB at most, or one record. Of records with equal payloads
+those of the largest page_id are responses; the others are revisits that name it and carry no payload. Files aren't
+compressed by default, so that an index line's offset and length address the bytes of its file; with
+compression="gzip" they address the unpacked bytes.
 
 Reading. Archives are read as binary files and cut by Content-Length; the payload's digest is computed anew.
+A scan partition packs spark.sql.files.maxPartitionBytes of files at most, or one file.
 
 Index. Every archive file gives a run of index lines (url key, timestamp, page_id, place in the file), sorted where the
-file is read. Runs are cut into ranges of the global order (url key, timestamp, page_id); in each range a
-loser tree merges the runs' slices, so that the ranges in order are one sorted history of captures.
-
-Defined results: null html is the empty payload, equal to other empty ones; a null url has url key ""; rows without a
-page_id are archived under the id null and are the response only if no row with equal payload has an id; rows that
-repeat a page_id are each archived (of those with equal payloads and the largest id, one is the response); other
+file is read and written out. Runs are cut into ranges of the global order, enough of them that a range holds about RANGE_ROWS
+lines and RANGE_BYTES of keys; file and offset break ties, so that no key is too hot to be cut. In each range a
+loser tree merges the slices of the runs, which stay in Arrow form and become rows a few at a time; the ranges in order are one sorted
+history of captures.
+
+Defined results: null html is the empty payload, equal to other empty ones; a null url has url key "", line ends in a url are
+percent-encoded; page_id may be any long: captures are a second apart by page_id, modulo CAPTURE_SECONDS; rows without a
+page_id are archived under the id null, sort before others and are responses only if no row with equal payload has an id; rows that
+repeat a page_id are each archived, and with equal payloads have the same role; other
 columns are ignored; an empty table gives an empty archive.
 """
 
@@ -21,6 +28,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -31,11 +39,14 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import arrow_map, fresh_path, partitions, small, table, written
 
-RECORDS_PER_FILE = 1024
+#: Payload bytes up to which a page belongs to a class (the last has no bound), and records in a file of that class.
+CLASSES = ((1 << 18, 512), (1 << 22, 32), (None, 1))
 END = "\r\n"
-SALTS = 64
+SALTS = 16
+RANGE_ROWS, RANGE_BYTES = 250_000, 128 << 20
 #: Captures of a table without timestamps: a second apart by page_id, from here on.
 FIRST_CAPTURE = "2024-01-01T00:00:00Z"
+CAPTURE_SECONDS = 1_000_000_000
 
 
 def base32_sha1(text: Column) -> Column:
@@ -45,62 +56,63 @@ def base32_sha1(text: Column) -> Column:
     return F.translate(F.upper(F.concat(*parts)), "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
 
 
-def url_key(url: Column) -> Column:
+def url_key(url: str) -> str:
     """Host labels reversed, then the rest: org,example)/en/1."""
-    rest = F.regexp_replace(F.lower(F.coalesce(url, F.lit(""))), "^[a-z][a-z0-9+.-]*://(www[.])?", "")
-    host = F.regexp_extract(rest, "^([^/?#]*)", 1)
-    after = F.substring(rest, F.length(host) + 1, F.length(rest))
-    return F.when(rest == "", "").otherwise(F.concat(F.array_join(F.reverse(F.split(host, "[.]")), ","), F.lit(")"), F.when(after == "", "/").otherwise(after)))
+    rest = re.sub("^[a-z][a-z0-9+.-]*://(www[.])?", "", url.lower())
+    host = re.match("[^/?#]*", rest)[0]
+    return f"{','.join(reversed(host.split('.')))}){rest[len(host):] or '/'}" if rest else ""
+
 
+def shared_payloads(digests: DataFrame, least_bytes: int = 0) -> DataFrame:
+    """payload_digest, winner (the largest page_id) and salt of every payload that several pages have; a row per salt, so that a join can deal out a hot payload."""
+    found = digests.where(F.col("payload_bytes") >= least_bytes).groupBy("payload_digest").agg(F.max("page_id").alias("winner"), F.count(F.lit(1)).alias("n"))
+    return found.where("n > 1 and winner is not null").select("payload_digest", "winner", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
 
-def deduplicated(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
-    """Digest and role of every page: row, payload_digest, payload_bytes, refers_to (null: response).
 
-    Only the skinny rows meet: winners are pre-aggregated; a digest that many pages share is salted for the join.
-    """
-    keyed = pages.select("row", "page_id", "payload_digest", "payload_bytes")
-    winners = keyed.groupBy("payload_digest").agg(F.max(F.struct("page_id", "row")).alias("w"), F.count(F.lit(1)).alias("n"))
-    shared = winners.where("n > 1").select("payload_digest", F.col("w.page_id").alias("winner_id"), F.col("w.row").alias("winner"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    salted = keyed.withColumn("salt", F.pmod(F.col("row"), F.lit(SALTS)).cast("int"))
-    joined = salted.join(small(shared), ["payload_digest", "salt"], "left")
-    revisit = (F.col("payload_bytes") >= least_bytes) & (F.col("winner") != F.col("row"))
-    return joined.select("row", "page_id", "payload_digest", "payload_bytes", F.coalesce(revisit, F.lit(False)).alias("revisit"), F.when(F.coalesce(revisit, F.lit(False)), F.col("winner_id")).alias("refers_to"))
+def _class(size: Column) -> Column:
+    found = F.lit(len(CLASSES) - 1)
+    for k in range(len(CLASSES) - 2, -1, -1):
+        found = F.when(size <= CLASSES[k][0], k).otherwise(found)
+    return found
 
 
 def _header(name: str, value: Column) -> Column:
     return F.concat(F.lit(f"{name}: "), F.coalesce(value.cast("string"), F.lit("")), F.lit(END))
 
 
-def write_archives(pages: DataFrame, least_bytes: int = 0, compression: str = "gzip") -> str:
+def write_archives(pages: DataFrame, least_bytes: int = 0, compression: str = "none") -> str:
     """Writes a record for each of page_id, url, html and returns the folder."""
     spark = pages.sparkSession
     payload = F.coalesce(F.col("html").cast("string"), F.lit(""))
     own = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), payload.alias("payload"))
-    digested = own.select("page_id", base32_sha1(F.col("payload")).alias("payload_digest"), F.octet_length("payload").cast("long").alias("payload_bytes"))
-    digested = digested.withColumn("row", F.xxhash64("page_id", "payload_digest"))
-    roles = deduplicated(digested, least_bytes)
-    # of rows that are equal in page_id and payload only one stays a response, under the same rule for all
-    revisits = roles.where("revisit").groupBy("row").agg(F.first("refers_to").alias("refers_to")).select("row", "refers_to", F.lit(True).alias("revisit"))
-    revisits = written(revisits, "revisits")
-    rows = own.withColumn("digest", base32_sha1(F.col("payload"))).withColumn("row", F.xxhash64("page_id", "digest")).join(small(revisits), "row", "left")
-    revisit = F.coalesce("revisit", F.lit(False))
-    stamp = F.date_format(F.timestamp_seconds(F.unix_timestamp(F.lit(FIRST_CAPTURE), "yyyy-MM-dd'T'HH:mm:ssX") + F.coalesce("page_id", F.lit(0))), "yyyy-MM-dd'T'HH:mm:ss'Z'")
-    uri = F.regexp_replace(F.coalesce("url", F.lit("")), r"[\r\n]", "")
+    own = own.withColumn("payload_bytes", F.octet_length("payload").cast("long"))
+    digests = written(own.select("page_id", base32_sha1(F.col("payload")).alias("payload_digest"), "payload_bytes"), "digests")
+    shared = written(shared_payloads(digests, least_bytes), "shared")
+    classes = [r["class"] for r in digests.groupBy(_class(F.col("payload_bytes")).alias("class")).count().collect()] or [0]  # at most len(CLASSES) rows
+    salted = own.withColumn("payload_digest", base32_sha1(F.col("payload"))).withColumn("salt", F.pmod(F.xxhash64("page_id"), F.lit(SALTS)).cast("int"))
+    rows = salted.join(small(shared), ["payload_digest", "salt"], "left")
+    revisit = F.col("winner").isNotNull() & ~F.col("winner").eqNullSafe(F.col("page_id"))
+    after = F.pmod(F.coalesce("page_id", F.lit(0)), F.lit(CAPTURE_SECONDS))
+    stamp = F.date_format(F.timestamp_seconds(F.unix_timestamp(F.lit(FIRST_CAPTURE), "yyyy-MM-dd'T'HH:mm:ssX") + after), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    uri = F.replace(F.replace(F.coalesce("url", F.lit("")), F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
+    named = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(c.cast("string"), F.lit("null")), F.lit(">"))
     record = F.concat(
         F.lit(f"WARC/1.1{END}"),
         _header("WARC-Type", F.when(revisit, "revisit").otherwise("response")),
-        _header("WARC-Record-ID", F.concat(F.lit("<urn:page:"), F.coalesce(F.col("page_id").cast("string"), F.lit("null")), F.lit(">"))),
+        _header("WARC-Record-ID", named(F.col("page_id"))),
         _header("WARC-Date", stamp),
         _header("WARC-Target-URI", uri),
-        _header("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("digest"))),
-        F.when(revisit, F.concat(_header("WARC-Profile", F.lit("http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")), _header("WARC-Refers-To", F.concat(F.lit("<urn:page:"), F.coalesce(F.col("refers_to").cast("string"), F.lit("null")), F.lit(">"))), _header("X-Payload-Length", F.octet_length("payload")))).otherwise(""),
+        _header("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("payload_digest"))),
+        F.when(revisit, F.concat(_header("WARC-Profile", F.lit("http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")), _header("WARC-Refers-To", named(F.col("winner"))), _header("X-Payload-Length", F.col("payload_bytes")))).otherwise(""),
         _header("Content-Type", F.lit("text/html; charset=utf-8")),
-        _header("Content-Length", F.when(revisit, 0).otherwise(F.octet_length("payload"))),
+        _header("Content-Length", F.when(revisit, 0).otherwise(F.col("payload_bytes"))),
         F.lit(END),
         F.when(revisit, "").otherwise(F.col("payload")),
     )
     path = fresh_path(spark, "warc")
-    rows.select(record.alias("value")).write.option("lineSep", END + END).option("compression", compression).option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
+    for k in classes:
+        part = rows.where(_class(F.col("payload_bytes")) == k).select(record.alias("value"))
+        part.write.option("lineSep", END + END).option("compression", compression).option("maxRecordsPerFile", CLASSES[k][1]).text(f"{path}/{k}")
     return path
 
 
@@ -124,32 +136,32 @@ def _page(name: str | None) -> int | None:
     return None if value == "null" else int(value)
 
 
-RECORD = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, captured string, file string, offset long, length long, intact boolean"
+RECORD = "url_key string, page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, captured string, file string, offset long, length long, intact boolean, place int"
+KINDS = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "boolean": pa.bool_()}
+
+
+def batch_of(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    names, kinds = zip(*(c.split() for c in schema.split(", ")))
+    return pa.RecordBatch.from_arrays([pa.array(list(c), KINDS[k]) for c, k in zip(zip(*rows), kinds)], names=list(names))
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """A row per record of the archive files in a folder; intact: the payload has the digest that its header names."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")
-    # a file at a time: its records are read from one array of bytes
-    names = [c.split()[0] for c in RECORD.split(", ")]
-    kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.bool_()]
+    """A row per record of the archive files in a folder, as sorted runs: place is a record's place in its file's run. intact: the payload has the digest that its header names."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").option("recursiveFileLookup", "true").load(path).select("path", "content")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
-                name, rows = batch.column("path")[k].as_py().rpartition("/")[2], []
+                name, rows = "/".join(batch.column("path")[k].as_py().split("/")[-2:]), []
                 for offset, length, h, payload in records_of(batch.column("content")[k].as_py()):
                     stated = h["warc-payload-digest"].removeprefix("sha1:")
                     revisit = h["warc-type"] == "revisit"
                     digest = stated if revisit else base64.b32encode(hashlib.sha1(payload).digest()).decode()
-                    rows.append((_page(h["warc-record-id"]), int(h["x-payload-length"]) if revisit else len(payload), digest, h["warc-type"], _page(h.get("warc-refers-to")) if revisit else None, h["warc-target-uri"], h["warc-date"], name, offset, length, digest == stated))
-                rows.sort(key=lambda r: (r[5], r[6], r[0] is None, r[0] or 0))
+                    rows.append((url_key(h["warc-target-uri"]), _page(h["warc-record-id"]), int(h["x-payload-length"]) if revisit else len(payload), digest, h["warc-type"], _page(h.get("warc-refers-to")) if revisit else None, h["warc-target-uri"], h["warc-date"], name, offset, length, digest == stated))
+                rows.sort(key=lambda r: (r[0], r[7], r[1] is not None, r[1] or 0, r[9]))
                 if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows), kinds)], names=names)
+                    yield batch_of([(*r, i) for i, r in enumerate(rows)], RECORD)
 
-    conf = spark.conf
-    if int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > 64:
-        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 64)
     return files.mapInArrow(run, RECORD)
 
 
@@ -190,34 +202,44 @@ class LoserTree:
             self._replay(winner)
 
 
-INDEX = "url_key string, captured string, page_id long, file string, offset long, length long, range int"
+INDEX = "url_key string, captured string, page_id long, file string, offset long, length long, range int, at long"
+LINE = ("url_key", "captured", "page_id", "file", "offset", "length")
 
 
 def merge_index(records: DataFrame) -> DataFrame:
-    """Index lines in global order: partition by partition, and in each by url_key, captured, page_id; range numbers the partitions."""
-    lines = records.select(url_key(F.col("url")).alias("url_key"), "captured", F.coalesce("page_id", F.lit(-1)).alias("page_id"), "file", "offset", "length")
-    ranged = lines.repartitionByRange(partitions(records.sparkSession), "url_key", "captured", "page_id").sortWithinPartitions("file", "url_key", "captured", "page_id")
+    """Index lines in global order: partition by partition, and in each by url_key, captured, page_id, file, offset; range numbers the partitions, at counts a url key's lines in its range."""
+    lines = records.select("url_key", "captured", "page_id", "file", "offset", "length", "place")
+    n, size = lines.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("url_key")), F.lit(0))).head()
+    ranges = max(partitions(records.sparkSession), -(-n // RANGE_ROWS), -(-size // RANGE_BYTES))
+    ranged = lines.repartitionByRange(ranges, "url_key", "captured", "page_id", "file", "offset").sortWithinPartitions("file", "place")
+
+    def slices(pieces: list[pa.RecordBatch]) -> Iterator[tuple]:
+        for piece in pieces:
+            for start in range(0, piece.num_rows, 64):
+                part = piece.slice(start, 64)
+                for u, c, p, f, o, n in zip(*(part.column(x).to_pylist() for x in LINE)):
+                    yield u, c, p is not None, p or 0, f, o, n
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         number = TaskContext.get().partitionId()
-        runs: dict[str, list[tuple]] = {}
+        runs: dict[str, list[pa.RecordBatch]] = {}
         for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in ("url_key", "captured", "page_id", "file", "offset", "length"))):
-                runs.setdefault(row[3], []).append(row)
+            names = batch.column("file").to_pylist()
+            starts = [k for k, name in enumerate(names) if not k or name != names[k - 1]]
+            for start, end in zip(starts, [*starts[1:], len(names)]):
+                runs.setdefault(names[start], []).append(batch.slice(start, end - start))
         out: list[tuple] = []
-        for row in LoserTree(iter(r) for r in runs.values()):
-            out.append((*row[:2], None if row[2] < 0 else row[2], *row[3:], number))
+        last, at = None, 0
+        for u, c, known, p, f, o, n in LoserTree(slices(x) for x in runs.values()):
+            last, at = u, at + 1 if u == last else 1
+            out.append((u, c, p if known else None, f, o, n, number, at))
             if len(out) == 4096:
-                yield batch_of(out)
+                yield batch_of(out, INDEX)
                 out = []
         if out:
-            yield batch_of(out)
-
-    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
-        kinds = [pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int32()]
-        return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows), kinds)], names=[c.split()[0] for c in INDEX.split(", ")])
+            yield batch_of(out, INDEX)
 
     return arrow_map(ranged, run, INDEX)
 
@@ -225,18 +247,38 @@ def merge_index(records: DataFrame) -> DataFrame:
 def capture_histories(records: DataFrame) -> DataFrame:
     """The merged index with capture_no: the place in the url key's history, counted over ranges by their totals."""
     index = written(merge_index(records), "index")
-    order = F.row_number().over(W.partitionBy("range", "url_key").orderBy("captured", "page_id", "file", "offset"))
-    totals = index.groupBy("url_key", "range").agg(F.count(F.lit(1)).alias("n"))
+    totals = index.groupBy("url_key", "range").agg(F.max("at").alias("n"))
     before = totals.select("url_key", "range", (F.sum("n").over(W.partitionBy("url_key").orderBy("range")) - F.col("n")).alias("before")).where("before > 0")
-    return index.withColumn("at", order).join(small(before), ["url_key", "range"], "left").select("url_key", "captured", "page_id", "file", "offset", "length", (F.col("at") + F.coalesce("before", F.lit(0))).cast("long").alias("capture_no"))
+    return index.join(small(before), ["url_key", "range"], "left").select(*LINE, (F.col("at") + F.coalesce("before", F.lit(0))).cast("long").alias("capture_no"))
 
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = write_archives(table(spark, sf_dir, "pages"))
     records = written(read_archives(spark, path), "records")
     history = capture_histories(records).select("file", "offset", "url_key", "capture_no")
-    return records.join(history, ["file", "offset"]).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact", "url_key", "captured", "capture_no")
+    return records.drop("url_key").join(history, ["file", "offset"]).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact", "url_key", "captured", "capture_no")
 
 
 QUERIES = {"op5_warc": op5_warc}
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op5_warc": """
+    with own as (select page_id, coalesce(url, '') as url, coalesce(html, '') as payload, sha1(coalesce(html, '')) as h from pages),
+    groups as (select h, max(page_id) as winner from own group by h),
+    -- five hex digits are four of base 32
+    named as (
+      select own.*, winner,
+        list_aggregate(list_transform(range(32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+          (((('0x' || substr(own.h, 1 + 5 * (k // 4), 5))::BIGINT >> (15 - 5 * (k % 4))) & 31) + 1)::BIGINT, 1)), 'string_agg', '') as digest,
+        regexp_replace(lower(replace(replace(url, chr(13), '%0D'), chr(10), '%0A')), '^[a-z][a-z0-9+.-]*://(www[.])?', '') as rest,
+        strftime(timestamp '2024-01-01' + to_seconds(((page_id % 1000000000) + 1000000000) % 1000000000), '%Y-%m-%dT%H:%M:%SZ') as captured
+      from own join groups using (h)),
+    cut as (select *, regexp_extract(rest, '^([^/?#]*)', 1) as host from named),
+    keyed as (
+      select *, case when rest = '' then '' else array_to_string(list_reverse(string_split(host, '.')), ',') || ')'
+        || case when length(rest) = length(host) then '/' else substr(rest, length(host) + 1) end end as url_key from cut)
+    select page_id, strlen(payload)::BIGINT as payload_bytes, digest as payload_digest,
+      case when page_id = winner then 'response' else 'revisit' end as record_type,
+      case when page_id <> winner then winner end as refers_to, true as intact, url_key, captured,
+      row_number() over (partition by url_key order by captured, page_id) as capture_no
+    from keyed""",
+}

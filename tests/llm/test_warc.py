@@ -4,6 +4,8 @@ import base64
 import hashlib
 import random
 
+import oracle
+
 from tessera.llm import warc
 
 
@@ -52,3 +54,42 @@ def test_order_of_ranges(spark):
 def test_empty(spark):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     assert warc.read_archives(spark, warc.write_archives(pages)).count() == 0
+
+
+def test_any_page_id(spark):
+    ids = [-(1 << 63), -1, 0, 10**13, 1 << 62, (1 << 63) - 1, None]
+    pages = spark.createDataFrame([(p, "http://a.b/" + "x" * 5000, f"h{p}", 1) for p in ids], "page_id long, url string, html string, place int")
+    records = warc.read_archives(spark, warc.write_archives(pages))
+    assert sorted(records.collect(), key=str) and {r.page_id for r in records.collect()} == set(ids) and all(r.intact and len(r.captured) == 20 for r in records.collect())
+    history = sorted(warc.capture_histories(records).collect(), key=lambda r: r.capture_no)
+    assert [r.capture_no for r in history] == list(range(1, 8)) and {r.page_id for r in history} == set(ids)
+    assert history == sorted(history, key=lambda r: (r.captured, r.page_id is not None, r.page_id or 0))
+
+
+def test_lines_seek(spark):
+    """An index line's offset and length are the record's bytes in its file."""
+    pages = spark.createDataFrame([(k, f"http://h{k % 3}.org/\u00e9\r\nx", "\u00e9\r\n\r\n" * k) for k in range(60)], "page_id long, url string, html string")
+    path = warc.write_archives(pages)
+    seen = 0
+    for r in warc.capture_histories(warc.read_archives(spark, path)).collect():
+        with open(f"{path.removeprefix('file:')}/{r.file}", "rb") as f:
+            f.seek(r.offset)
+            (_, _, headers, payload), = warc.records_of(f.read(r.length))
+        seen += headers["warc-record-id"] == f"<urn:page:{r.page_id}>" and (headers["warc-type"] == "revisit" or payload == ("\u00e9\r\n\r\n" * r.page_id).encode())
+    assert seen == 60
+
+
+def test_size_classes_gzip_and_many_ranges(spark, monkeypatch):
+    monkeypatch.setattr(warc, "CLASSES", ((10, 7), (100, 3), (None, 1)))
+    monkeypatch.setattr(warc, "RANGE_ROWS", 9)
+    rows = [(k, "http://hot.org/" if k % 3 else f"http://h{k}.org/", "y" * (k * 37 % 300) + str(k)) for k in range(200)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    records = warc.read_archives(spark, warc.write_archives(pages, compression="gzip"))
+    assert sorted((r.page_id, r.payload_bytes) for r in records.collect()) == [(k, len(h)) for k, _, h in rows]
+    assert records.groupBy("file").count().join(records.where("payload_bytes > 100").select("file").distinct(), "file").agg({"count": "max"}).head()[0] == 1
+    hot = sorted((r.capture_no, r.page_id) for r in warc.capture_histories(records).collect() if r.url_key == "org,hot)/")
+    assert hot == list(enumerate((k for k, u, _ in rows if "hot" in u), 1))
+
+
+def test_sql(spark, sf_dir):
+    assert oracle.differences(warc.op5_warc(spark, sf_dir), oracle.connect(sf_dir), warc.SQL["op5_warc"]) == []
