@@ -2,9 +2,11 @@ from __future__ import annotations
 
 import collections
 import math
+import random
 import re
 import zlib
 
+import oracle
 import pytest
 from pyspark.sql import functions as F
 
@@ -89,3 +91,40 @@ def test_held_out_accuracy(spark):
     docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
     rows = qm.score(docs, qm.fit(docs, labels)).join(labels, "doc_id").where(qm.held_out(F.col("doc_id"))).collect()
     assert sum((r.score >= 0.5) == (r.quality == 1) for r in rows) / len(rows) >= 0.95
+
+
+def test_sql(spark, sf_dir):
+    assert oracle.differences(qr.op9_quality_rules(spark, sf_dir), oracle.connect(sf_dir), qr.SQL["op9_quality_rules"]) == []
+
+
+def test_levels_against_brute_force(spark):
+    """Levels of random counts, and how often one with too high a rate is certified."""
+    r = random.Random(5)
+    rates = [0.0, 0.002, 0.01, qr.RISK, 0.03, 0.06]
+    rows = []
+    for t in range(600):
+        n, over = r.randint(0, 900), []
+        draws = [r.random() for _ in range(n)]
+        for rate in rates:
+            over.append(sum(d < rate for d in draws))
+        rows.append((f"s{t}", n, over))
+    counts = spark.createDataFrame(rows, "stratum string, n long, over array<long>")
+    strata = max(1, sum(n >= math.log(qr.DELTA) / math.log(1 - qr.RISK) for _, n, _ in rows))
+
+    def level(n, over, delta):
+        for i, k in enumerate(over):
+            if k >= n * qr.RISK or sum(math.comb(n, j) * qr.RISK**j * (1 - qr.RISK) ** (n - j) for j in range(k + 1)) > delta:
+                return i - 1 if i else None
+        return len(over) - 1
+
+    got = {x.stratum: x.level for x in qr.certified_levels(counts).collect()}
+    assert got == {s: level(n, over, qr.DELTA / strata) for s, n, over in rows}
+    wrong = sum((v := level(n, over, qr.DELTA)) is not None and rates[v] >= qr.RISK for _, n, over in rows)
+    assert wrong / len(rows) <= qr.DELTA
+
+
+def test_three_hundred_labels_suffice(spark):
+    docs, labels = labelled(spark, 300)
+    assert {r.doc_id for r in qr.apply_quality_rules(docs, labels).collect()} == set(range(300))
+    other = docs.withColumn("lang", F.lit("xx"))  # strata come from the data
+    assert {r.stratum: r.n_good for r in qr.certified_cutoffs(qr.measured(docs.unionByName(other)), labels).collect()} == {"en": 300, "xx": 300}
