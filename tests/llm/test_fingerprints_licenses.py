@@ -3,9 +3,11 @@ from __future__ import annotations
 import hashlib
 import re
 
+import pyarrow as pa
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tessera.llm import fingerprints as fp
 from tessera.llm import licenses as li
@@ -19,14 +21,65 @@ def brute_next(rows):
         yield doc_id, n, hashlib.sha256((own[: n - n // 3] + nxt[: n // 3]).encode()).hexdigest(), fp.digest(fp.canonical(own)), float(fp.canonical(own) == fp.canonical(nxt))
 
 
-def test_successors_over_many_buckets(spark, monkeypatch):
-    monkeypatch.setattr(fp, "BUCKET_ROWS", 7)
+def test_successors_over_many_ranges(spark, monkeypatch):
+    monkeypatch.setattr(fp, "partitions", lambda spark: 23)
     rows = [(k * 3 - 50, f"text {k % 5} é" * (k % 9)) for k in range(100)] + [(5, "A  b"), (4, "a b"), (None, "null id"), (1000, None), (1001, "")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = fp.compare_with_next(df).collect()
     assert sorted((str(r.doc_id), r.n_chars, r.edited_sha256, r.fingerprint, r.near_next) for r in got) == sorted((str(a), *rest) for a, *rest in brute_next(rows))
 
 
+def test_hot_ids_long_texts_and_clashing_columns(spark, monkeypatch):
+    monkeypatch.setattr(fp, "partitions", lambda spark: 9)
+    rows = [(None, f"no id {k}") for k in range(300)] + [(7, "same")] * 300 + [(8, f"{k:03d} own") for k in range(300)] + [(9, "x" * 3_000_000), (10, "Y " * 500_000)]
+    df = spark.createDataFrame([(d, t, "z", 1) for d, t in rows], "doc_id long, text string, fingerprint string, start int")
+    placed = fp.ordered(df).groupBy(F.spark_partition_id()).count().collect()
+    assert len(placed) == 9 and max(r["count"] for r in placed) < 300
+    got = fp.compare_with_next(df).collect()
+    assert sorted((str(r.doc_id), r.n_chars, r.edited_sha256, r.fingerprint, r.near_next) for r in got) == sorted((str(a), *rest) for a, *rest in brute_next(rows))
+
+
+def test_a_collision_renames_every_text_of_the_digest(spark, monkeypatch):
+    """With a digest of one hex digit equal texts keep equal fingerprints and different ones get different, edited texts included."""
+    rows = [(k, f"text number {k % 40}") for k in range(60)] + [(1000, "text number 5"), (1001, "text number 6")]
+    monkeypatch.setattr(fp, "digest", lambda data: hashlib.sha256(data).hexdigest()[:1])
+    one = {r.doc_id: r for r in _in_process(spark, rows)}
+    own = {d: fp.canonical(t) for d, t in rows}
+    order = sorted(rows, reverse=True)
+    edited = {d: fp.canonical(t[: len(t) - len(t) // 3] + order[(k + 1) % len(order)][1][: len(t) // 3]) for k, (d, t) in enumerate(order)}
+    names = {}
+    for d, r in one.items():
+        for form, name in ((own[d], r.fingerprint), (edited[d], r.edited_fingerprint)):
+            assert names.setdefault(form, name) == name
+    assert len(set(names.values())) == len(names)
+
+
+def _in_process(spark, rows):
+    """compare_with_next with the steps of Python run here, so that a patched digest holds."""
+    def here(df, fn, schema):
+        table = df.coalesce(1).toArrow()
+        return spark.createDataFrame(pa.Table.from_batches(list(fn(iter(table.to_batches()))) or [], schema=_arrow(schema)).to_pylist(), schema)
+
+    import pyspark
+
+    class Context:
+        @staticmethod
+        def get():
+            return type("Task", (), {"partitionId": lambda self: 0})()
+
+    keep, task = fp.arrow_map, pyspark.TaskContext
+    fp.arrow_map, pyspark.TaskContext = here, Context
+    try:
+        return fp.compare_with_next(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    finally:
+        fp.arrow_map, pyspark.TaskContext = keep, task
+
+
+def _arrow(schema):
+    kinds = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "double": pa.float64(), "binary": pa.binary()}
+    return pa.schema([(n, kinds[k]) for n, k in (c.split() for c in schema.split(", "))])
+
+
 def test_small_tables(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert fp.compare_with_next(empty).count() == 0 and fp.group_exact(empty).count() == 0
