@@ -6,6 +6,7 @@ import random
 import re
 import zlib
 
+import numpy as np
 import oracle
 import pytest
 from pyspark.sql import functions as F
@@ -128,3 +129,45 @@ def test_three_hundred_labels_suffice(spark):
     assert {r.doc_id for r in qr.apply_quality_rules(docs, labels).collect()} == set(range(300))
     other = docs.withColumn("lang", F.lit("xx"))  # strata come from the data
     assert {r.stratum: r.n_good for r in qr.certified_cutoffs(qr.measured(docs.unionByName(other)), labels).collect()} == {"en": 300, "xx": 300}
+
+
+def test_leader_against_brute_force(spark):
+    """The same weights as per-coordinate FTRL-proximal over dictionaries, document by document."""
+    docs, labels = labelled(spark, 40)
+    rows = sorted(((r.turn, r.doc_id, r.label, r["at"], r["value"]) for r in qm.fitted_rows(docs, labels).collect()))
+    assert 50 <= len(rows) <= 70 and all(zlib.crc32(str(d).encode()) % 3 != 1 for _, d, *_ in rows)
+    z, n = collections.defaultdict(float), collections.defaultdict(float)
+
+    def weight(k):
+        return 0.0 if abs(z[k]) <= qm.L1 else -(z[k] - math.copysign(qm.L1, z[k])) / ((qm.BETA + math.sqrt(n[k])) / qm.ALPHA + qm.L2)
+
+    for _ in range(30):
+        for _, _, label, at, value in rows:
+            x = dict(zip(np.frombuffer(at, np.uint32).tolist(), np.frombuffer(value, np.float32).tolist()))
+            w = {k: weight(k) for k in x}
+            p = 1 / (1 + math.exp(-sum(w[k] * v for k, v in x.items())))
+            for k, v in x.items():
+                g = (p - label) * v
+                z[k] += g - (math.sqrt(n[k] + g * g) - math.sqrt(n[k])) / qm.ALPHA * w[k]
+                n[k] += g * g
+    got = np.frombuffer(qm.fit(docs, labels), np.float32)
+    want = np.zeros(len(got))
+    for k in z:
+        want[k] = weight(k)
+    assert np.abs(got - want).max() < 1e-5 and np.abs(want).max() > 0.1
+
+
+def test_bounds_hold_on_repeated_keys(spark):
+    docs, labels = labelled(spark, 60)
+    hot = spark.createDataFrame([(0, f"copy {k} of one id", "en") for k in range(3000)], docs.schema)
+    many = docs.unionByName(hot).withColumn("label", F.lit("x")).withColumn("turn", F.lit(1))
+    twice = labels.unionByName(labels).unionByName(spark.createDataFrame([(3, 0), (None, 1), (10**9, 1)], labels.schema))
+    rows = qm.fitted_rows(many, twice)
+    ids = [r.doc_id for r in rows.collect()]
+    assert len(ids) == len(set(ids)) and 3 not in ids and 0 in ids
+    assert qm.fitted_rows(many, twice, fit_docs=20).count() == 20
+    assert 1 <= qm.fitted_rows(many, twice, fit_bytes=3000).count() < 20
+    scored = qm.score(many.limit(0), qm.fit(many, twice))
+    assert scored.count() == 0 and qm.score(many, bytes(4 << qm.BITS)).count() == many.count()
+    long = spark.createDataFrame([(1, "word " * 400_000)], "doc_id long, text string")
+    assert qm.score(long, bytes(4 << qm.BITS)).head().score == 0.5
