@@ -21,11 +21,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; a temporary one is set only where it is unset."""
+    """The folder named by spark.checkpoint.dir; where it is unset, a temporary one on a single machine, an error on a cluster."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = spark.conf.get("spark.tessera.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         path = "file://" + tempfile.mkdtemp(prefix="tessera-")
         spark.conf.set("spark.tessera.checkpoint.dir", path)
     return path.rstrip("/")

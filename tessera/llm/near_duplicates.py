@@ -3,15 +3,15 @@
 A text's set holds its runs of N words (64-bit hashes); a text of fewer words has one run of all of them.
 Rows with equal sets are one representative from there on (pre-aggregated, so that a third of all rows being
 copies costs nothing). Representatives are hashed into bands; bands x rows are chosen so that a pair at the threshold
-shares a band with probability TARGET_RECALL. Bands that two or more share link their members to the smallest
-one: linear in the band, no pairs. The components of these links are clusters; every pair that shares a band
-lies in one.
+shares a band with probability TARGET_RECALL. A band that two or more representatives share is led by the smallest; the leader of a
+representative is the smallest one that leads any of its bands.
 
-Only representatives in clusters have their n-gram sets moved. A cluster is dealt into blocks of about BLOCK
-representatives, each pair of blocks is a group of rows, and in it all set sizes and overlaps are computed as
-matrix products: a row comes out per representative and group, with the number of its links and the
-smallest representative it is linked to, never a row per pair. No bucket or cluster is capped. The
-verified links give the classes.
+Only representatives that share a band have their n-gram sets moved. Those of one leader are dealt into blocks of about BLOCK
+representatives and BLOCK_BYTES of sets. Two blocks are compared if some band holds representatives of both: blocks meet in bands, never
+representatives, and blocks that only a chain of bands joins are not compared. Each such pair of blocks is a group of rows, and in it all set sizes and
+overlaps are computed as matrix products: a row comes out per representative and group, with the number of its links and the
+smallest representative it is linked to, never a row per pair. No bucket is capped: a band of m representatives costs (m / BLOCK)^2
+groups, which is the work of comparing them all. Groups are numbered and dealt to tasks by number. The verified links give the classes.
 
 Result: a row per document with class_id, the smallest doc_id of its class, and n_links, the number of other
 documents at the threshold or over, copies included.
@@ -38,7 +38,8 @@ N = 5
 THRESHOLD = 0.8
 TARGET_RECALL = 0.999999
 ROWS = 6
-BLOCK = 256
+BLOCK = 128
+BLOCK_BYTES = 32 << 20
 SEED = 7
 COLUMNS = 8192
 
@@ -98,14 +99,14 @@ def _signatures(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
 
 
 def _sets(docs: DataFrame, n: int) -> DataFrame:
-    """v, cluster, copies, text -> the same with the n-gram set as bytes."""
+    """v, leader, part, copies, text -> the same with the n-gram set as bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             grams = [gram_set(t, n).tobytes() for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("v", "cluster", "blocks", "copies")), pa.array(grams, pa.binary())], names=["v", "cluster", "blocks", "copies", "grams"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("v", "leader", "part", "copies")), pa.array(grams, pa.binary())], names=["v", "leader", "part", "copies", "grams"])
 
-    return arrow_map(docs, run, "v long, cluster long, blocks int, copies long, grams binary")
+    return arrow_map(docs, run, "v long, leader long, part int, copies long, grams binary")
 
 
 def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -135,7 +136,7 @@ def linked(left: list[np.ndarray], right: list[np.ndarray], threshold: float) ->
 
 
 def _verify(threshold: float):
-    """Rows of a group (cluster, i, j) lie together; sides: 1 in block i, 2 in block j, 3 in both (i = j)."""
+    """Rows of a group (a pair of blocks) lie together; sides: 1 in the first block, 2 in the second, 3 where both are one."""
 
     def judged(rows: dict[tuple[int, bytes], tuple[int, int]]) -> pa.RecordBatch:
         left = [(v, copies, grams) for (v, grams), (side, copies) in rows.items() if side & 1]
@@ -166,11 +167,11 @@ def _verify(threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, rows = None, {}
         for batch in batches:
-            for c, i, j, v, side, copies, grams in zip(*(batch.column(k).to_pylist() for k in ("cluster", "i", "j", "v", "side", "copies", "grams"))):
-                if (c, i, j) != group:
+            for pair, v, side, copies, grams in zip(*(batch.column(k).to_pylist() for k in ("pair", "v", "side", "copies", "grams"))):
+                if pair != group:
                     if len(rows) > 1:
                         yield judged(rows)
-                    group, rows = (c, i, j), {}
+                    group, rows = pair, {}
                 rows[v, grams] = (side, copies)
         if len(rows) > 1:
             yield judged(rows)
@@ -178,11 +179,19 @@ def _verify(threshold: float):
     return run
 
 
-def thinned(links: DataFrame) -> DataFrame:
-    """The same components from fewer links: of a member's leaders (one per band at most) the smallest leads the member and the other leaders."""
-    led = links.groupBy("b").agg(F.sort_array(F.collect_set("a")).alias("leaders"))
-    ends = F.explode(F.concat(F.array("b"), F.slice("leaders", 2, F.size("leaders"))))
-    return led.select(F.element_at("leaders", 1).alias("a"), ends.alias("b")).distinct()
+def block_pairs(members: DataFrame, blocks: DataFrame) -> DataFrame:
+    """pair (a number), leader, part, side: the pairs of blocks that share a band, a row for each of a pair's blocks (one row where both are one).
+
+    members: band, v of every representative in a shared band; blocks: v, leader, part.
+    """
+    found = members.join(small(blocks.select("v", F.struct("leader", "part").alias("block"))), "v").select("band", "block").distinct()
+    mixed = found.groupBy("band").agg(F.min("block").alias("least"), F.max("block").alias("most")).where("least < most").select("band")
+    meeting = written(found.join(small(mixed), "band"), "meeting")
+    across = meeting.join(meeting.withColumnRenamed("block", "other"), "band").where("block < other").select("block", "other").distinct()
+    inside = blocks.groupBy("leader", "part").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.struct("leader", "part").alias("block"), F.struct("leader", "part").alias("other"))
+    pairs = written(across.unionByName(inside), "pairs").withColumn("pair", F.monotonically_increasing_id())
+    ends = F.when(F.col("block") == F.col("other"), F.array(F.struct(F.col("block"), F.lit(3).alias("side")))).otherwise(F.array(F.struct(F.col("block"), F.lit(1).alias("side")), F.struct(F.col("other").alias("block"), F.lit(2).alias("side"))))
+    return pairs.select("pair", F.explode(ends).alias("x")).select("pair", "x.block.leader", "x.block.part", "x.side")
 
 
 def jaccard_classes(docs: DataFrame, threshold: float = THRESHOLD, n: int = N, recall: float = TARGET_RECALL, rows: int = ROWS) -> DataFrame:
@@ -190,23 +199,23 @@ def jaccard_classes(docs: DataFrame, threshold: float = THRESHOLD, n: int = N, r
     spark = docs.sparkSession
     bands = bands_for(threshold, recall, rows)
     signed = written(_signatures(docs.where("doc_id is not null"), n, bands, rows), "signatures")
-    # a set's name is its smallest doc_id
-    named = signed.where("size > 0").groupBy("hi", "lo").agg(F.min("doc_id").alias("v"), F.count(F.lit(1)).alias("copies"))
+    # a set's name is its smallest doc_id; copies meet where the rows lie
+    named = signed.where("size > 0").groupBy("hi", "lo").agg(F.min("doc_id").alias("v"), F.count(F.lit(1)).alias("copies"), F.any_value("bands").alias("bands"), F.any_value("size").alias("size"))
     named = written(named, "sets")
-    reps = signed.join(named.select("hi", "lo", "v"), ["hi", "lo"]).where("doc_id = v").select("v", F.explode("bands").alias("band"))
+    reps = named.select("v", F.explode("bands").alias("band")).distinct()
     shared = reps.groupBy("band").agg(F.min("v").alias("a"), F.max("v").alias("z")).where("a < z").select("band", "a")
-    links = reps.join(shared, "band").where("v <> a").select("a", F.col("v").alias("b")).distinct()
-    clusters = components(thinned(links))
-    blocks = clusters.groupBy("label").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    copies = named.groupBy("v").agg(F.max("copies").alias("copies"))
-    active = written(clusters.join(blocks, "label").join(copies, "v").select("v", F.col("label").alias("cluster"), "blocks", "copies"), "active")
-    sets = _sets(texts(docs).join(small(active), F.col("doc_id") == F.col("v")).select("v", "cluster", "blocks", "copies", "text"), n)
-    block = F.pmod(F.xxhash64(F.lit(SEED), "v"), F.col("blocks")).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    dealt = sets.withColumn("block", block).withColumn("other", other)
-    side = F.when(F.col("block") == F.col("other"), 3).when(F.col("block") < F.col("other"), 1).otherwise(2)
-    dealt = dealt.select("cluster", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "v", side.cast("int").alias("side"), "copies", "grams")
-    dealt = dealt.repartition(partitions(spark), "cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
+    members = written(reps.join(shared, "band"), "members")
+    own = members.groupBy("v").agg(F.min("a").alias("leader")).join(named.groupBy("v").agg(F.max("copies").alias("copies"), F.sum("size").alias("size")), "v")
+    own = written(own, "leaders")
+    count = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("size") * 8 / BLOCK_BYTES)).cast("int")
+    parts = own.groupBy("leader").agg(count.alias("parts"))
+    part = F.pmod(F.xxhash64(F.lit(SEED), "v"), F.col("parts")).cast("int")
+    active = written(own.join(parts, "leader").select("v", "leader", part.alias("part"), "copies"), "active")
+    pairs = written(block_pairs(members, active.select("v", "leader", "part")), "block-pairs")
+    sets = _sets(texts(docs).join(small(active), F.col("doc_id") == F.col("v")).select("v", "leader", "part", "copies", "text"), n)
+    tasks = partitions(spark)
+    dealt = sets.join(small(pairs), ["leader", "part"]).select("pair", "v", "side", "copies", "grams")
+    dealt = dealt.repartitionById(tasks, F.pmod("pair", F.lit(tasks)).cast("int")).sortWithinPartitions("pair")
     found = written(arrow_map(dealt, _verify(threshold), "v long, links long, low long"), "links")
     classes = components(found.where("v <> low").select(F.col("v").alias("a"), F.col("low").alias("b")))
     counts = found.groupBy("v").agg(F.sum("links").alias("links"))

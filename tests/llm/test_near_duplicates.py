@@ -80,3 +80,26 @@ def test_components(spark):
     edges = [(k, k + 1) for k in range(0, 40)] + [(100, 101), (101, 102), (100, 102)] + [(200, k) for k in range(201, 260)]
     got = {r.v: r.label for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{k: 0 for k in range(41)}, 100: 100, 101: 100, 102: 100, **{k: 200 for k in range(200, 260)}}
+
+
+def test_a_chain_compares_neighbours_only(spark, monkeypatch):
+    """Texts that a chain of bands joins: classes and links are exact, and blocks that share no band never meet."""
+    monkeypatch.setattr(nd, "BLOCK", 4)
+    words = [f"w{k}" for k in range(4000)]
+    rows = [(k, " ".join(words[k * 15 : k * 15 + 200])) for k in range(200)]  # neighbours overlap by about 0.85
+    met = []
+    keep = nd.block_pairs
+    monkeypatch.setattr(nd, "block_pairs", lambda m, b: met.append((keep(m, b).select("pair").distinct().count(), b.select("leader", "part").distinct().count())) or keep(m, b))
+    got = nd.jaccard_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((x.doc_id, x.class_id, x.n_links) for x in got) == brute(rows)
+    (pairs, blocks), = met
+    assert pairs < blocks * blocks / 8
+
+
+def test_very_long_texts_and_blocks_by_bytes(spark, monkeypatch):
+    monkeypatch.setattr(nd, "BLOCK_BYTES", 1 << 20)
+    r = random.Random(4)
+    base = [f"w{r.randrange(10**6)}" for _ in range(100_000)]
+    rows = [(k, " ".join(base[: 100_000 - 40 * k])) for k in range(5)] + [(k, " ".join(base[k : k + 90_000])) for k in (10, 20)]
+    got = nd.jaccard_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((x.doc_id, x.class_id, x.n_links) for x in got) == [(d, 0, 6) for d, _ in rows]
