@@ -145,3 +145,27 @@ def test_model(spark):
     assert {r.verdict for r in only.collect()} == {"block"}
     assert {r.verdict for r in uf.filter_urls(rows, rules=(), labelled=labelled.limit(0)).collect()} == {"allow"}
     assert uf.filter_urls(rows.limit(0)).count() == 0
+
+
+def test_known_urls_are_distinct_bounded_and_weighted(spark):
+    rows = [(f"http://a{k}.com/x", k % 2) for k in range(400)] + [("http://hot.com/", 1)] * 5000 + [("http://hot.com/", 0)] * 10 + [("http://tie.com/", 0), ("http://tie.com/", 1), (None, 1), ("http://b.com/", None)]
+    labelled = spark.createDataFrame(rows, "url string, label int").withColumn("weight", F.lit("x")).withColumn("fold", F.lit(9))
+    got = {r.url: r for r in uf.known_urls(labelled).collect()}
+    assert len(got) == 403 and got["http://hot.com/"].weight == 5010 and got["http://hot.com/"].label == got["http://tie.com/"].label == 1.0 and "" in got
+    assert len({r.url for r in uf.known_urls(labelled, fit_urls=50).collect()}) == uf.known_urls(labelled, fit_urls=50).count() == 50
+
+
+def test_held_out_urls_measure_the_model(spark):
+    """Labels that the features tell are learned; labels of noise are not, though every suffix stands once (a rate with a row's own label would tell them)."""
+    told = spark.createDataFrame([(f"http://site{k}.net/{'win/' * (k % 2)}{k}", k % 2) for k in range(800)], "url string, label int")
+    row = uf.UrlModel(told).held_out().head()
+    assert 120 <= row.n <= 200 and row.accuracy > 0.97 and row.log_loss < row.base_loss / 2
+    noise = spark.range(800).selectExpr("concat('http://x.t', cast(crc32(cast(id as string)) as string), '/s', cast(id as string)) as url", "cast(crc32(concat('n', id)) % 2 as int) as label")
+    row = uf.UrlModel(noise).held_out().head()
+    assert abs(row.accuracy - 0.5) < 0.12 and row.log_loss > 0.6
+
+
+def test_odd_urls(spark):
+    rows = [(1, "http://a.com/" + "x" * 2_000_000, "r"), (1, "http://a.com/fr/", "s"), (1, "http://a.com/fr/", "s"), (None, None, None)]
+    out = uf.filter_urls(spark.createDataFrame(rows, "page_id long, url string, rule string")).collect()
+    assert len(out) == 4 and sorted(len(r.path) for r in out) == [0, 4, 4, 2_000_001] and all(r.verdict in ("allow", "block") for r in out)
