@@ -5,15 +5,17 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows in an Arrow batch sent to Python. Small, because one text may hold 100 KB and more.
+#: Rows of an Arrow batch that Python takes at once. Few, because one text may hold 100 KB and more.
 ARROW_ROWS = 1024
-#: Rows of a side up to which it may be broadcast; beyond, the join shuffles.
-BROADCAST_ROWS = 250_000
+#: Rows and bytes of a side up to which it may be broadcast; beyond, the join shuffles.
+BROADCAST_ROWS, BROADCAST_BYTES = 250_000, 32 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,15 +35,39 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+_SCRATCH: ContextVar[str | None] = ContextVar("scratch", default=None)
+
+
+def _file_system(spark: SparkSession, path: str) -> tuple:
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder; it is removed when the driver's JVM ends."""
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    jvm = spark.sparkContext._jvm
-    hadoop = jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    """A new path in the shared folder; it is removed with the scratch folder around it, or when the driver's JVM ends."""
+    path = f"{_SCRATCH.get() or shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    fs, hadoop = _file_system(spark, path)
+    fs.deleteOnExit(hadoop)
     return path
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    fs, hadoop = _file_system(spark, path)
+    fs.delete(hadoop, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession, name: str) -> Iterator[None]:
+    """What operators write inside goes at the end; nothing that reads it may be left to run then."""
+    path = fresh_path(spark, name)
+    token = _SCRATCH.set(path)
+    try:
+        yield
+    finally:
+        _SCRATCH.reset(token)
+        remove(spark, path)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Writes df to the shared folder and reads it back: the lineage ends there."""
     path = fresh_path(df.sparkSession, name)
@@ -50,15 +76,20 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    conf = df.sparkSession.conf
-    if int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > ARROW_ROWS:
-        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
-    return df.mapInArrow(fn, schema)
+    """mapInArrow over batches of at most ARROW_ROWS rows; on the JVM's side spark.sql.execution.arrow.maxBytesPerBatch bounds them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return fn(batch.slice(k, ARROW_ROWS) for batch in batches for k in range(0, batch.num_rows, ARROW_ROWS))
+
+    return df.mapInArrow(run, schema)
 
 
 def small(df: DataFrame, rows: int | None = None) -> DataFrame:
-    """df with a broadcast hint if its counted rows are at most `rows`, else as it is."""
-    return F.broadcast(df) if df.count() <= (rows or BROADCAST_ROWS) else df
+    """df with a broadcast hint if its counted rows and bytes are within the bounds, else as it is."""
+    wide = [F.octet_length(F.col(f"`{c}`")) for c, kind in df.dtypes if kind in ("string", "binary")]
+    bytes_of = sum((F.coalesce(w, F.lit(0)) for w in wide), F.lit(8 * len(df.columns)))
+    n, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(bytes_of), F.lit(0))).head()
+    return F.broadcast(df) if n <= (rows or BROADCAST_ROWS) and size <= BROADCAST_BYTES else df
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
