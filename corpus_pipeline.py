@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm.bpe import encode_documents
-from tessera.llm.common import table, written
+from tessera.llm.common import fresh_path, remove, scratch, table
 from tessera.llm.mixing import mix
 from tessera.llm.near_duplicates import one_of_each
 from tessera.llm.pii import redact
@@ -32,7 +32,7 @@ def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Small sources are repeated up to 1.5 times; every document stays."""
+    """Small sources are repeated up to 1.5 times; every document stays, in the order of the mixture."""
     return mix(docs)
 
 
@@ -48,7 +48,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """All stages over documents. What a stage wrote on its way goes when it has ended, its input when the next table stands."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name)
+        path = fresh_path(spark, name)
+        with scratch(spark, f"{name}-steps"):
+            kept = stage(spark, docs, sf_dir)
+            kept.write.parquet(path)
+        docs = spark.read.schema(kept.schema).parquet(path)
+        if before:
+            remove(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)
