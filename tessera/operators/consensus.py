@@ -195,6 +195,6 @@ SQL = {
     "records_per_dimension": "select 'flag' dimension, l_returnflag as value, count(*) n from lineitem group by 2 union all select 'status', l_linestatus, count(*) from lineitem group by 2 union all select 'year', cast(year(l_shipdate) as varchar), count(*) from lineitem group by 2",
     "benchmark_tolerance": "with m as (select l_partkey material, median(l_extendedprice) m from lineitem where l_extendedprice > 0 group by 1) select material, round(m / (p_retailprice * 10), 6) ratio, m / (p_retailprice * 10) between 0.1 and 10 passes from m join part on material = p_partkey where p_retailprice > 0",
     "ensemble_vote": "with r as (select distinct l_partkey material, l_orderkey % 5 run, round(l_extendedprice / 1000, 0) v from lineitem), g as (select material, count(distinct run) votes, list_sort(list(v)) vs from r group by 1), h as (select *, vs[len(vs) // 2 + 1] m from g where votes >= 2) select material, votes, m as value, len(list_filter(vs, lambda v: not abs(v - m) < 0.1 * abs(m))) = 0 agree, round(least(0.85, 0.5 + 0.1 * votes), 6)::double confidence from h",
-    "consensus_priority": "select material, papers, 40 - papers need, p_size > 40 benchmark from (select l_partkey material, count(distinct l_suppkey) papers from lineitem group by 1) join part on p_partkey = material where papers < 40 order by benchmark desc, need, material limit 50",
+    "consensus_priority": "select material, papers, 40 - papers need, p_size > 40 benchmark from (select l_partkey material, count(distinct l_suppkey) papers from lineitem group by 1) join part on p_partkey = material where papers < 40",
     "deficit_ranking": "with g as (select p_type family, count(*) n from part group by 1) select family, n, round(1.0::double / (select count(*) from g) - n::double / (select sum(n) from g), 6) deficit from g",
 }

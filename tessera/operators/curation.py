@@ -143,7 +143,7 @@ def split_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (evidence_attach, filed_records, literature_check, seed_comparison, cleaning_report, sentinel_audit, type_normalize, discovery_merge, incremental_feed, provenance_best, split_backfill)}
 SQL = {
-    "evidence_attach": "with b as (select conv_id % 50 k, substr(text, 1, 40) snippet from conversations), r as (select *, row_number() over (partition by k order by length(snippet) desc, snippet desc) n from b) select o_orderkey, snippet from orders left join (select * from r where n = 1) r on o_custkey % 50 = k where o_orderstatus = 'O'",
+    "evidence_attach": "with b as (select conv_id % 50 k, text snippet from conversations), r as (select *, row_number() over (partition by k order by length(snippet) desc, snippet desc) n from b) select o_orderkey, snippet from orders left join (select * from r where n = 1) r on o_custkey % 50 = k where o_orderstatus = 'O'",
     "filed_records": "with r as (select l_suppkey, l_partkey, l_returnflag, l_linestatus, p.property from lineitem, (values ('sigma'), ('ea')) p(property)), n as (select distinct l_suppkey, l_partkey, l_returnflag, property from r where l_linestatus = 'O'), o as (select distinct l_suppkey, l_partkey, l_returnflag, property from r where l_linestatus = 'F') select property, count(*) filed from (select * from n except select * from o) group by 1",
     "literature_check": "with f as (select p_brand, round(avg(p_retailprice), 2) a from part group by 1), l as (select l_partkey, case when l_linenumber <> 6 then l_extendedprice / l_quantity end v from lineitem), j as (select v, case when p_size <= 15 then p_retailprice end e, case when p_size > 30 then a end x from l left join part on p_partkey = l_partkey left join f using (p_brand)) select case when v is null then 'pending' when e is not null then case when abs(v - e) <= greatest(0.5 * abs(e), 5e-5) then 'agree' else 'conflict' end when x is not null and abs(v - x) <= greatest(abs(x), 5e-5) then 'agree' else 'no_ref' end status, count(*) n from j group by 1",
     "seed_comparison": "with s as (select l_suppkey, arg_min(l_extendedprice, (l_orderkey, l_linenumber, l_extendedprice)) seed from lineitem where l_extendedprice > 0 group by 1) select l_suppkey, count(*) matched, count(*) filter (l_extendedprice / seed between 0.5 and 2) hits, round(avg((l_extendedprice / seed between 0.5 and 2)::int), 6) accuracy from lineitem join s using (l_suppkey) where l_extendedprice > 0 group by 1",
@@ -152,6 +152,6 @@ SQL = {
     "type_normalize": "with t as (select lower(regexp_replace(p_type, '^.*[. ]', '')) t from part) select case when t in ('tin', 'steel', 'nickel', 'brass', 'copper') then t else 'unknown' end as type, count(*) n from t group by 1",
     "discovery_merge": "with a as (select o_custkey, list(distinct o_orderstatus) a from orders where o_orderkey % 2 = 0 group by 1), b as (select o_custkey, list(distinct lower(o_orderstatus)) b from orders where o_orderkey % 2 = 1 group by 1) select o_custkey, array_to_string(list_sort(list_distinct(list_concat(coalesce(a, []), coalesce(b, [])))), ',') sources, a is null appended from a full join b using (o_custkey)",
     "incremental_feed": "select distinct user_id from events where event_id % 10 >= 2 and user_id not in (select user_id from events where event_id % 10 < 2 and user_id is not null)",
-    "provenance_best": "with j as (select a.l_orderkey, a.l_partkey, b.l_orderkey source, case when abs(a.l_quantity - b.l_quantity) <= 5 then 3 else 0 end + case when a.l_suppkey = b.l_suppkey then 1.5 else 0 end + case when a.l_suppkey % 10 = b.l_suppkey % 10 then 2 else 0 end p from lineitem a join lineitem b using (l_partkey) where a.l_linenumber = 1 and b.l_linenumber = 2) select l_orderkey, l_partkey, source, p::double points from (select *, row_number() over (partition by l_orderkey, l_partkey order by p desc, source) n from j) where n = 1",
+    "provenance_best": "with li as (select *, row_number() over () r from lineitem), j as (select a.r, a.l_orderkey, a.l_linenumber, a.l_partkey, b.l_orderkey source, case when abs(a.l_quantity - b.l_quantity) <= 5 then 3 else 0 end + case when a.l_suppkey = b.l_suppkey then 1.5 else 0 end + case when a.l_suppkey % 10 = b.l_suppkey % 10 then 2 else 0 end p from li a join li b using (l_partkey) where a.r <> b.r) select l_orderkey, l_linenumber, l_partkey, source, p::double points from (select *, row_number() over (partition by r order by p desc, source) n from j) where n = 1",
     "split_backfill": "select case when p_retailprice > 1950 then 'gold' when p_size < 5 then 'val' when p_size < 15 then 'test' else 'train' end split, count(*) n from part group by 1",
 }

@@ -194,10 +194,10 @@ _F = "case when l_returnflag = 'A' then 1.0 when l_returnflag = 'N' then 0.75 el
 SQL = {
     "materials_best_row": "with b as (select *, cast(l_discount > 0 as int) + cast(l_tax > 0 as int) filled from lineitem), r as (select *, row_number() over (partition by l_orderkey order by l_linestatus desc, filled desc, l_linenumber, l_partkey) n from b), s as (select l_orderkey, string_agg(distinct l_returnflag, ',' order by l_returnflag) sources from lineitem group by 1) select l_orderkey, l_linenumber, l_partkey, l_linestatus, filled, sources from r join s using (l_orderkey) where n = 1",
     "papers_first_non_null": "select o_custkey, arg_min(o_orderstatus, o_orderkey) first_status, min(o_orderkey) filter (o_orderpriority like '1%') first_urgent, count(*) n from orders group by 1",
-    "measurement_unpivot": "select * from (select l_orderkey, 'discount' property, l_discount as value from lineitem where l_linenumber = 1 union all select l_orderkey, 'tax', l_tax from lineitem where l_linenumber = 1 union all select l_orderkey, 'quantity', l_quantity from lineitem where l_linenumber = 1) where value <> 0",
+    "measurement_unpivot": "select * from (select l_orderkey, l_linenumber, 'discount' property, l_discount as value from lineitem union all select l_orderkey, l_linenumber, 'tax', l_tax from lineitem union all select l_orderkey, l_linenumber, 'quantity', l_quantity from lineitem) where value <> 0",
     "first_occurrence_dedup": "select l_partkey, l_suppkey, l_orderkey, l_linenumber from (select *, row_number() over (partition by l_partkey, l_suppkey order by l_orderkey, l_linenumber) n from lineitem) where n = 1",
     "canonical_and_alternates": "select l_orderkey, l_linenumber, case when row_number() over (partition by l_partkey, l_suppkey order by l_orderkey, l_linenumber) = 1 then 'canonical' else 'alternate' end as role from lineitem",
-    "duplicate_measurements": "select l_suppkey, l_partkey, l_returnflag, count(*) n, array_to_string(list_sort(list(l_orderkey))[1:10], ',') ids from lineitem group by 1, 2, 3 having count(*) > 1",
+    "duplicate_measurements": "select * from (select l_suppkey, l_partkey, l_returnflag, l_orderkey, l_linenumber, count(*) over (partition by l_suppkey, l_partkey, l_returnflag) n from lineitem) where n > 1",
     "duplicate_experiment_flag": "select l_orderkey, l_linenumber, count(*) over (partition by l_partkey, l_suppkey) > 1 duplicated from lineitem",
     "doi_multiplicity": "select l_suppkey, count(distinct l_partkey) materials from lineitem where l_suppkey is not null group by 1 having count(distinct l_partkey) > 1",
     "relational_counts": "select p_partkey l_partkey, p_name, coalesce(e, 0) n_experiments, coalesce(p, 0) n_papers, coalesce(m, 0) n_measurements from part left join (select l_partkey, count(distinct l_orderkey) e, count(distinct l_suppkey) p, count(*) m from lineitem group by 1) on l_partkey = p_partkey",

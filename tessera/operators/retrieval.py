@@ -154,7 +154,7 @@ f as (select term, count(*) df from h group by 1), b as (select doc_id, round(su
 _V = "v as (select e.vec_id, sqrt(list_sum(list_transform(list_zip(e.embedding, q.embedding), lambda z: pow(z[1]::double - z[2]::double, 2)))) distance from embeddings e, (select embedding from embeddings where vec_id = 0) q)"
 SQL = {
     "word_chunks": f"with w as (select doc_id, {_W.format(t='text')} w from documents), c as (select doc_id, w, unnest(range(0, case when len(w) <= 500 then 1 else ceil((len(w) - 500) / 450)::bigint + 1 end)) i from w where len(w) > 0) select doc_id, i::int chunk_index, len(w[i * 450 + 1 : i * 450 + 500])::int n_words, md5(array_to_string(w[i * 450 + 1 : i * 450 + 500], ' ')) chunk_md5 from c",
-    "term_statistics": f"select term, count(*) df, cast(sum(tf) as bigint) tf from (select doc_id, term, count(*) tf from (select doc_id, unnest({_W.format(t='lower(text)')}) term from documents) group by 1, 2) group by 1 having count(*) >= 100",
+    "term_statistics": f"select term, count(*) df, cast(sum(tf) as bigint) tf from (select doc_id, term, count(*) tf from (select doc_id, unnest({_W.format(t='lower(text)')}) term from documents) group by 1, 2) group by 1",
     "bm25_topk": f"with {_BM} select doc_id, score from b where score > 0 order by score desc, doc_id limit 20",
     "vector_topk": f"with {_V} select vec_id, round(distance, 6) distance from v order by v.distance, vec_id limit 20",
     "hybrid_topk": f"with {_BM}, {_V}, x as (select vec_id, distance from v order by distance, vec_id limit 60), y as (select doc_id vec_id, score from b order by score desc, doc_id limit 60), j as (select * from x full join y using (vec_id)), hy as (select vec_id, round(0.6 * case when distance is null then 0 else 1 - coalesce(distance / nullif((select max(distance) from j), 0), 0) end + 0.4 * coalesce(score / (select max(score) from j), 0), 6) hybrid from j) select * from hy order by hybrid desc, vec_id limit 20",

@@ -165,7 +165,7 @@ SQL = {
     "family_holdout_split": _HOLD,
     "split_sizes": f"select split, count(*) n, count(distinct p_brand) families from ({_HOLD}) group by 1",
     "leakage_check": f"select p_brand, count(distinct {_S('p_partkey::varchar')}) splits from part group by 1 having count(distinct {_S('p_partkey::varchar')}) > 1",
-    "component_split": f"with recursive li as (select * from lineitem where l_quantity >= 50 and l_discount >= 0.08), e as (select distinct a.l_suppkey a, b.l_suppkey b from li a join li b using (l_orderkey)), r(node, c) as (select s_suppkey, s_suppkey from supplier union select e.b, r.c from r join e on e.a = r.node), m as (select node, min(c) component from r group by 1) select node, component, {_S('component::varchar')} split from m",
+    "component_split": f"with recursive e as (select distinct a.l_suppkey a, b.l_suppkey b from lineitem a join lineitem b using (l_orderkey)), r(node, c) as (select s_suppkey, s_suppkey from supplier union select e.b, r.c from r join e on e.a = r.node), m as (select node, min(c) component from r group by 1) select node, component, {_S('component::varchar')} split from m",
     "gold_sample": "select p_partkey, p_brand, n::int n from (select p_partkey, p_brand, row_number() over (partition by p_brand order by md5(p_partkey::varchar), p_partkey) n from part) where n <= 5",
     "regression_metrics": f"{_P} select p_brand, count(*) n, round(avg(abs(y - p)), 6) mae, round(sqrt(avg((y - p) * (y - p))), 6) rmse, round(1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)), 6) r2 from r group by 1",
     "macro_f1": f"{_P}, t as (select label c, count(*) t, count(*) filter (label = guess) tp from r group by 1), g as (select guess c, count(*) g from r group by 1), f as (select coalesce(2.0::double * tp / nullif(coalesce(t, 0) + coalesce(g, 0), 0), 0) f from t full join g using (c)) select round(avg(f), 6) macro_f1, count(*) classes, (select round(avg((label = guess)::int), 6) from r) accuracy from f",
