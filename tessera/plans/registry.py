@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from tessera.operators import agreement, chemistry, consensus, curation, extraction, materials, models, quality, relational, retrieval, review, splits
+from tessera.operators import agreement, benchmarks, chemistry, consensus, curation, extraction, materials, models, quality, relational, retrieval, review, splits
 from tessera.streaming import feeds
 
-MODULES = (consensus, relational, chemistry, materials, extraction, curation, agreement, quality, review, splits, retrieval, models, feeds)
+MODULES = (consensus, relational, chemistry, materials, extraction, curation, agreement, quality, review, splits, benchmarks, retrieval, models, feeds)
 
 
 def queries() -> dict:
