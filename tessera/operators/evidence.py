@@ -62,7 +62,7 @@ def composite_score(present: Column, quoted: Column, agreeing: Column, models: C
         + WEIGHTS["temp"] * F.when(temperature, 1.0).otherwise(0.4)
     )
     s = F.when(different, F.least(s, F.lit(DIFFERENT_CAP))).otherwise(s)
-    return F.round(F.when(models == 0, F.least(s, F.lit(NO_MODEL_CAP))).otherwise(s), 1)
+    return F.bround(F.when(models == 0, F.least(s, F.lit(NO_MODEL_CAP))).otherwise(s), 1)
 
 
 def decision(score: Column) -> Column:
@@ -249,7 +249,7 @@ SQL = {
       + {WEIGHTS['llm_agreement']} * (agreeing::double / greatest(models, 1)) + {WEIGHTS['physics']} * case when physics then 1.0::double else 0.25 end
       + {WEIGHTS['literature']} * case l_returnflag when 'A' then 0.75::double when 'R' then 0.15 else 0.5 end
       + {WEIGHTS['units']} * case when l_tax > 0.01 then 1.0::double else 0.2 end + {WEIGHTS['temp']} * case when l_discount > 0.02 then 1.0::double else 0.4 end as raw from k),
-    c as (select round(case when models = 0 then least(case when l_tax > 0.07 then least(raw, 82) else raw end, 74) when l_tax > 0.07 then least(raw, 82) else raw end, 1) as score from s)
+    c as (select round_even(case when models = 0 then least(case when l_tax > 0.07 then least(raw, 82) else raw end, 74) when l_tax > 0.07 then least(raw, 82) else raw end, 1) as score from s)
     select score, case when score >= 98 then 'auto_approve' when score >= 95 then 'spot_check' when score >= 80 then 'needs_review' else 'reject' end as decision, count(*) as n from c group by 1, 2""",
     "queue_clearance": "select case when l_tax > 0.06 then 'rejected: duplicate' when l_tax > 0.02 and (l_linestatus = 'F' or l_linenumber % 2 = 0) then 'approved' else 'rejected: no evidence' end as decision, count(*) as n from lineitem group by 1",
     "conductivity_scores": """

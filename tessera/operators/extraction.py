@@ -1,6 +1,6 @@
 """Facts out of names and texts: dopants, roles, labels, symmetry, descriptors; value evidence in texts; tables of lines.
 
-Names and formulas are literal rows, texts are the driver's documents and pages.
+Names and formulas are made of the parts, texts are the driver's documents and pages.
 """
 
 from __future__ import annotations
@@ -14,10 +14,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tessera.functions import formula as fm
-from tessera.operators.chemistry import FORMULAS, _rows, _values
+from tessera.operators.roles import METALS, SQL_ELEMENTS, SQL_FORMULAS, SQL_PARTS, formulas, parts, pick, sql_pick
 from tessera.session import table
 
-NAMES = ("Li7La3Zr2O12:Ta", "Li2S-P2S5(70:30)glass", "aflow-aflow:019c", "mp-12345", "Li6.25Al0.25La3Zr2O12 Al-doped", "LiCl:0.5", "Li3N")
 #: Prefixes of ids of other databases, elements that are looked for as dopants, mobile ions in order.
 SOURCE_PREFIXES = ("aflow-", "mp-", "jvasp-", "oqmd-", "cod-", "nomad-", "icsd-")
 MOBILE = ("Li", "Na", "K", "Mg", "Ca", "Zn", "Al")
@@ -51,12 +50,15 @@ def mobile_ion(elements: Column) -> Column:
 
 
 def dopants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = F.array_distinct(F.array_compact(F.array(colon_dopant(F.col("name")), doped_element(F.col("name")))))
-    return _rows(spark, NAMES, "name").select("name", F.array_join(F.array_sort(found), ",").alias("dopants"))
+    """Dopants in names of the parts: annotated, spelled out, in brackets, in ids of other databases, or none."""
+    k, metal = F.col("p_partkey"), pick(METALS, F.col("p_partkey"))
+    name = F.when(k % 5 == 0, F.concat("formula", F.lit(":"), metal)).when(k % 5 == 1, F.concat("formula", F.lit(" "), metal, F.lit("-doped"))).when(k % 5 == 2, F.concat("formula", F.lit("(70:30)glass"))).when(k % 5 == 3, F.concat(F.lit("mp-"), k.cast("string"), F.lit(":x"))).otherwise(F.concat("formula", F.lit(":0.5")))
+    found = F.array_distinct(F.array_compact(F.array(colon_dopant(name), doped_element(name))))
+    return parts(spark, sf_dir).select("p_partkey", F.array_join(F.array_sort(found), ",").alias("dopants"))
 
 
 def mobile_ions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rows(spark, FORMULAS, "formula").select("formula", mobile_ion(fm.elements(F.col("formula"))).alias("ion"))
+    return formulas(spark, sf_dir).select("formula", mobile_ion(fm.elements(F.col("formula"))).alias("ion"))
 
 
 def element_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,7 +66,7 @@ def element_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = fm.elements(F.col("formula"))
     unknown = F.array_except(e, F.array(*map(F.lit, ELEMENTS)))
     gas = F.forall(e, lambda x: x.isin("H", "N", "O", "F", "Cl"))
-    return _rows(spark, FORMULAS, "formula").select("formula", F.array_join(F.array_sort(unknown), ",").alias("unknown"), gas.alias("all_gas"), (F.array_contains(e, "Li") & ~F.arrays_overlap(e, F.array(*map(F.lit, ("Co", "Mn", "Ni"))))).alias("candidate"))
+    return formulas(spark, sf_dir).select("formula", F.array_join(F.array_sort(unknown), ",").alias("unknown"), gas.alias("all_gas"), (F.array_contains(e, "Li") & ~F.arrays_overlap(e, F.array(*map(F.lit, ("Co", "Mn", "Ni"))))).alias("candidate"))
 
 
 def crystal_systems(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,8 +78,8 @@ def crystal_systems(spark: SparkSession, sf_dir: str) -> DataFrame:
 def composition_descriptors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weighted means and deviations, plain ranges, of mass and electronegativity; elements without data weigh nothing."""
     dim = spark.createDataFrame([(e, *v) for e, v in ELEMENTS.items()], "element string, z int, mass double, en double")
-    parts = _rows(spark, FORMULAS, "formula").select("formula", F.explode(fm.element_counts(F.col("formula"))).alias("x")).groupBy("formula", F.col("x.element").alias("element")).agg(F.sum("x.n").alias("n"))
-    j = parts.join(F.broadcast(dim), "element")  # the dimension is the table above
+    pieces = formulas(spark, sf_dir).select("formula", F.explode(fm.element_counts(F.col("formula"))).alias("x")).groupBy("formula", F.col("x.element").alias("element")).agg(F.sum("x.n").alias("n"))
+    j = pieces.join(F.broadcast(dim), "element")  # the dimension is the table above
     mean = lambda c: F.sum(F.col("n") * F.col(c)) / F.sum("n")
     g = j.groupBy("formula").agg(F.count(F.lit(1)).alias("n_elements"), F.sum("n").alias("atoms"), mean("mass").alias("mass"), mean("en").alias("en"), (F.sum(F.col("n") * F.col("en") * F.col("en")) / F.sum("n")).alias("en2"), (F.max("en") - F.min("en")).alias("range"))
     return g.select("formula", "n_elements", F.round("atoms", 6).alias("atoms"), F.round("mass", 6).alias("mean_mass"), F.round("en", 6).alias("mean_en"), F.round(F.sqrt(F.greatest(F.lit(0.0), F.col("en2") - F.col("en") * F.col("en"))), 4).alias("std_en"), F.round("range", 6).alias("range_en"))
@@ -171,16 +173,16 @@ def text_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (dopants, mobile_ions, element_filters, crystal_systems, composition_descriptors, discovery_labels, query_matrix, matrix_yield, document_titles, majority_role, evidence_scan, text_tables)}
-_E = f"select formula, list_distinct(regexp_extract_all(formula, '[A-Z][a-z]?')) e from (values {_values(FORMULAS)}) t(formula)"
+_E = f"select formula, list_distinct(regexp_extract_all(formula, '[A-Z][a-z]?')) as e from {SQL_FORMULAS}"
 _L = lambda xs: "[" + ", ".join(f"'{x}'" for x in xs) + "]"
 _SYS = "case " + " ".join(f"when n between {a} and {b} then '{s}'" for a, b, s in CRYSTAL_SYSTEMS) + " else 'Unknown' end"
 _DIM = "(values " + ", ".join(f"('{e}', {m}::double, {x}::double)" for e, (_, m, x) in ELEMENTS.items()) + ") d(element, mass, en)"
 SQL = {
-    "dopants": f"with b as (select name, case when not regexp_matches(lower(trim(name)), '^({'|'.join(SOURCE_PREFIXES)})') then trim(regexp_extract(regexp_replace(name, '\\([^()]*\\)', '', 'g'), '^[^:]*:(.*)$', 1)) end a, nullif(regexp_extract(name, '\\b([A-Z][a-z]?)[- ]doped', 1), '') d from (values {_values(NAMES)}) t(name)) select name, array_to_string(list_sort(list_distinct(list_filter([case when a <> '' and not regexp_matches(a, '^[0-9.]+$') then a end, d], lambda x: x is not null))), ',') dopants from b",
+    "dopants": f"select p_partkey, case when p_partkey % 5 < 2 then {sql_pick(METALS, 'p_partkey')} else '' end as dopants from {SQL_PARTS}",
     "mobile_ions": f"select formula, list_filter({_L(MOBILE)}, lambda x: list_contains(e, x))[1] ion from ({_E})",
     "element_filters": f"select formula, array_to_string(list_sort(list_filter(e, lambda x: not list_contains({_L(ELEMENTS)}, x))), ',') unknown, len(list_filter(e, lambda x: x not in ('H', 'N', 'O', 'F', 'Cl'))) = 0 all_gas, list_contains(e, 'Li') and not list_has_any(e, ['Co', 'Mn', 'Ni']) candidate from ({_E})",
     "crystal_systems": f"select {_SYS} system, count(*) n, min(n)::int lowest from (select p_partkey * 7 % 240 n from part) group by 1",
-    "composition_descriptors": f"with p as (select formula, p[1] element, sum(coalesce(try_cast(nullif(p[2], '') as double), 1.0)) n from (select formula, unnest(list_zip(regexp_extract_all(formula, '([A-Z][a-z]?)([0-9.]*)', 1), regexp_extract_all(formula, '([A-Z][a-z]?)([0-9.]*)', 2))) p from (values {_values(FORMULAS)}) t(formula)) group by 1, 2) select formula, count(*) n_elements, round(sum(n), 6) atoms, round(sum(n * mass) / sum(n), 6) mean_mass, round(sum(n * en) / sum(n), 6) mean_en, round(sqrt(greatest(0, sum(n * en * en) / sum(n) - (sum(n * en) / sum(n)) * (sum(n * en) / sum(n)))), 4) std_en, round(max(en) - min(en), 6) range_en from p join {_DIM} using (element) group by 1",
+    "composition_descriptors": f"with p as (select formula, element, sum(n) as n from ({SQL_ELEMENTS.format(source=SQL_FORMULAS)}) group by 1, 2) select formula, count(*) n_elements, round(sum(n), 6) atoms, round(sum(n * mass) / sum(n), 6) mean_mass, round(sum(n * en) / sum(n), 6) mean_en, round(sqrt(greatest(0, sum(n * en * en) / sum(n) - (sum(n * en) / sum(n)) * (sum(n * en) / sum(n)))), 4) std_en, round(max(en) - min(en), 6) range_en from p join {_DIM} using (element) group by 1",
     "discovery_labels": "with p as (select p_partkey, case when p_size % 3 <> 0 then p_retailprice * 1e-7 end s, case when p_size % 2 = 0 then p_size::double / 50 end ea, p_partkey % 4 = 0 stable, p_partkey % 9 = 0 metal from part) select p_partkey, coalesce(s >= 1.4e-4, false) and coalesce(ea < 0.6, true) fast, s >= 1.4e-4 high, (stable and not metal) or coalesce(s >= 1.4e-4, false) promising from p",
     "query_matrix": "with c as (select * from (values ('Brand#11'), ('Brand#23'), ('Brand#3'), ('Brand#7')) b(p_brand), (values ('ECONOMY'), ('PROMO'), ('STANDARD')) t(word)) select p_brand, word, p_partkey, n::int n from (select p_brand, word, p_partkey, row_number() over (partition by p_brand, word order by p_retailprice desc, p_partkey) n from part join c using (p_brand) where contains(p_type, word)) where n <= 3",
     "matrix_yield": "select p_brand, p_type, count(*) n, count(*) filter (p_size > 25) large, max(p_retailprice) best from part group by 1, 2",

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import formula as fm
-from tessera.operators.roles import SQL_PARTS, formula_of, parts, sql_formula
+from tessera.operators.roles import SQL_PARTS, SQL_REDUCED, formula_of, parts, sql_formula
 from tessera.session import table
 
 
@@ -160,12 +160,6 @@ def descriptor_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (record_union, benchmark_records, consensus_context, verified_lookup, material_sigma, unmatched_compositions, compound_lookup, signal_stamp, run_confirmation, validation_block, descriptor_join)}
-#: Reduced formulas of generated ones: three different elements with whole counts.
-_REDUCED = """select formula, string_agg(element || case when n // d = 1 then '' else (n // d)::varchar end, '' order by element) as reduced from (
-  select *, gcd(gcd(first_value(n) over w, nth_value(n, 2) over w), nth_value(n, 3) over w) as d from (
-    select formula, element, coalesce(nullif(c, '')::bigint, 1) as n, k from (
-      select formula, unnest(regexp_extract_all(formula, '([A-Z][a-z]?)([0-9]*)', 1)) as element, unnest(regexp_extract_all(formula, '([A-Z][a-z]?)([0-9]*)', 2)) as c, unnest([1, 2, 3]) as k from {source}))
-  window w as (partition by formula order by k rows between unbounded preceding and unbounded following)) group by 1"""
 _F = f"(select distinct {sql_formula('p_partkey')} as formula from part)"
 SQL = {
     "record_union": "with u as (select l_partkey as composition, l_suppkey as doi, 'conductivity' as property, l_quantity as value, 0 as source from lineitem where l_linestatus = 'F' union all select l_partkey, l_suppkey, 'conductivity', l_quantity, 1 from lineitem where l_returnflag <> 'R' union all select l_partkey, l_suppkey, 'activation_energy', l_discount, 1 from lineitem where l_returnflag <> 'R') select composition, doi, property, value, min(source) as source, count(*) as copies from u group by 1, 2, 3, 4",
@@ -177,10 +171,10 @@ SQL = {
     q as (select l_partkey, printf('%.6g', l_quantity) as d, arg_min(l_orderkey, (l_orderkey, l_linenumber)) as r from v group by 1, 2)
     select l_orderkey, l_linenumber, i.l_partkey as comp, coalesce(e.r, q.r) as hit from lineitem i left join e using (l_partkey, l_suppkey) left join q on q.l_partkey = i.l_partkey and q.d = printf('%.6g', i.l_quantity) where i.l_returnflag = 'N'""",
     "material_sigma": f"""
-    with r as ({_REDUCED.format(source=_F)}), k as (select p_partkey, reduced from {SQL_PARTS} join r using (formula)),
+    with r as ({SQL_REDUCED.format(source=_F)}), k as (select p_partkey, reduced from {SQL_PARTS} join r using (formula)),
     g as (select l_partkey, count(*) filter (l_discount > 0.05) as n, round(avg(l_extendedprice), 6) as sigma from lineitem group by 1),
     -- records name parts that may not stand in the table of parts
-    gk as (select l_partkey, sigma, reduced from (select *, {sql_formula('l_partkey')} as formula from g where n > 0) join ({_REDUCED.format(source=f"(select distinct {sql_formula('l_partkey')} as formula from lineitem)")}) using (formula)),
+    gk as (select l_partkey, sigma, reduced from (select *, {sql_formula('l_partkey')} as formula from g where n > 0) join ({SQL_REDUCED.format(source=f"(select distinct {sql_formula('l_partkey')} as formula from lineitem)")}) using (formula)),
     m as (select reduced, min(l_partkey) as source, arg_min(sigma, l_partkey) as sigma from gk group by 1)
     select p_partkey, source, sigma from k left join m using (reduced)""",
     "unmatched_compositions": f"with p as (select *, array_to_string(list_sort(list_distinct(regexp_extract_all(formula, '[A-Z][a-z]?'))), '') as k from {SQL_PARTS}) select formula, count(*) as n, min(p_partkey) as first from p where p_size <= 25 and k not in (select k from p where p_size > 25) group by 1",

@@ -53,3 +53,9 @@ SQL_FORMULAS = f"(select distinct {sql_formula('p_partkey')} as formula from par
 SQL_PARTS = f"(select *, {sql_formula('p_partkey')} as formula from part)"
 #: Element and count of every part of a formula, in order of appearance: a row each.
 SQL_ELEMENTS = "select formula, p[1] as element, coalesce(try_cast(nullif(p[2], '') as double), 1.0) as n from (select formula, unnest(list_zip(regexp_extract_all(formula, '([A-Z][a-z]?)([0-9.]*)', 1), regexp_extract_all(formula, '([A-Z][a-z]?)([0-9.]*)', 2))) as p from {source})"
+#: Reduced formulas of generated ones: three different elements with whole counts.
+SQL_REDUCED = """select formula, string_agg(element || case when n // d = 1 then '' else (n // d)::varchar end, '' order by element) as reduced from (
+  select *, gcd(gcd(first_value(n) over w, nth_value(n, 2) over w), nth_value(n, 3) over w) as d from (
+    select formula, element, coalesce(nullif(c, '')::bigint, 1) as n, k from (
+      select formula, unnest(regexp_extract_all(formula, '([A-Z][a-z]?)([0-9]*)', 1)) as element, unnest(regexp_extract_all(formula, '([A-Z][a-z]?)([0-9]*)', 2)) as c, unnest([1, 2, 3]) as k from {source}))
+  window w as (partition by formula order by k rows between unbounded preceding and unbounded following)) group by 1"""
