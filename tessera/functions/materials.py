@@ -61,13 +61,16 @@ def extraction_family(formula: Column) -> Column:
 
 
 def rule_family(formula: Column) -> Column:
-    """The family by its set of elements; the first rule that holds decides."""
-    e = elements(formula)
+    """The family by the formula's set of elements; a polymer host in its text comes first."""
+    return F.when(formula.rlike(f"(?i){POLYMER_HOSTS}"), "polymer_composite").otherwise(family_of_elements(elements(formula)))
+
+
+def family_of_elements(e: Column) -> Column:
+    """The first rule that holds decides."""
     has = lambda *names: F.forall(_array(names), lambda x: F.array_contains(e, x))
     some = lambda names: F.arrays_overlap(e, _array(names))
     only = lambda names: F.size(F.array_except(e, _array(names))) == 0
     rules = (
-        (formula.rlike(f"(?i){POLYMER_HOSTS}"), "polymer_composite"),
         (~some(ALKALI), "unknown"),
         (has("C", "H"), "polymer_composite"),
         (has("P", "S") & some(HALOGENS), "argyrodite"),

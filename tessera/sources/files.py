@@ -77,3 +77,52 @@ def json_response(text: Column, schema: str) -> Column:
 def tables_of_tei(xml: Column) -> Column:
     """Cells of the tables in a TEI document."""
     return F.xpath(xml, F.lit("//table/row/cell/text()"))
+
+
+def write_csv(df: DataFrame, path: str) -> None:
+    """Comma-separated files with a header; text is quoted where it must be."""
+    df.write.mode("overwrite").option("header", "true").option("escape", '"').csv(path)
+
+
+def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    return spark.read.option("header", "true").option("escape", '"').option("multiLine", "true").schema(schema).csv(path)
+
+
+def write_consensus(groups: DataFrame, path: str) -> None:
+    """Groups as Parquet without their members, and as JSON lines with them."""
+    groups.drop("measurements", "outliers").write.mode("overwrite").parquet(f"{path}/parquet")
+    groups.write.mode("overwrite").json(f"{path}/json")
+
+
+def markdown_table(caption: Column, headers: Column, rows: Column) -> Column:
+    """A pipe table: caption in bold, head, rule, rows; what is missing is left out. rows: arrays of cells."""
+    line = lambda cells: F.concat(F.lit("| "), F.array_join(cells, " | ", ""), F.lit(" |"))
+    head = F.when(F.size(F.coalesce(headers, F.array().cast("array<string>"))) > 0, F.array(line(headers), line(F.transform(headers, lambda h: F.lit("---")))))
+    title = F.when(caption != "", F.array(F.concat(F.lit("**"), caption, F.lit("**"))))
+    none = F.array().cast("array<string>")
+    return F.array_join(F.concat(F.coalesce(title, none), F.coalesce(head, none), F.coalesce(F.transform(rows, line), none)), "\n")
+
+
+#: Fields of an extraction result's evidence that a queue item takes as they are.
+ITEM_FIELDS = ("composition", "family", "property", "value", "temperature_celsius", "conductivity_type", "measurement_method", "evidence_sentence", "page", "section", "table_number", "source", "confidence", "issues")
+_EVIDENCE = "evidence_id string, doi string, composition string, family string, property string, value double, unit string, normalized_unit string, temperature_celsius double, conductivity_type string, measurement_method string, evidence_sentence string, page int, section string, table_number string, source string, is_primary boolean, confidence double, issues array<string>, valid boolean"
+
+
+def queue_items(spark: SparkSession, path: str) -> DataFrame:
+    """Pending review items of every per-paper result below a path (one JSON document a file, in a folder named by its paper); evidence that is marked invalid is left out."""
+    docs = spark.read.option("multiLine", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json").schema(f"doi string, evidence array<struct<{_EVIDENCE}>>").json(path)
+    rows = docs.select(F.element_at(F.split("_metadata.file_path", "/"), -2).alias("paper_id"), F.col("doi").alias("paper_doi"), F.explode("evidence").alias("e")).where("coalesce(e.valid, true)")
+    return rows.select(
+        F.concat(F.lit("review_"), F.coalesce("e.evidence_id", F.lit(""))).alias("review_id"), "e.evidence_id", "paper_id", F.coalesce("e.doi", "paper_doi").alias("doi"), *[f"e.{c}" for c in ITEM_FIELDS],
+        F.coalesce("e.normalized_unit", "e.unit").alias("unit"), F.coalesce("e.is_primary", F.lit(True)).alias("is_primary"), F.lit("pending").alias("status"),
+        *[F.lit(None).cast("string").alias(c) for c in ("reviewed_at", "reviewer", "review_note", "edited_unit")], F.lit(None).cast("double").alias("edited_value"),
+    )
+
+
+def with_cached_metadata(papers: DataFrame, cache: DataFrame) -> DataFrame:
+    """papers with title, authors, journal and year of a cache of look-ups by doi, where they have none; unknown ones stay null."""
+    names = [c for c in ("title", "authors", "journal", "year") if c in cache.columns]
+    first = cache.groupBy(F.lower(F.trim("doi")).alias("_doi")).agg(F.min(F.struct(*names)).alias("_m"))
+    j = papers.join(first, F.lower(F.trim(papers["doi"])) == F.col("_doi"), "left")
+    kept = [F.coalesce(F.col(c), F.col(f"_m.{c}")).alias(c) if c in names else F.col(f"`{c}`") for c in papers.columns]
+    return j.select(*kept, *[F.col(f"_m.{c}").alias(c) for c in names if c not in papers.columns])
