@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tessera.functions.units import agreement
+from tessera.operators.ranks import exact_quantiles
 from tessera.session import table
 
 
@@ -57,7 +58,7 @@ def agreement_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
 def agreement_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     j = _sides(spark, sf_dir)
     props = F.explode(F.array(F.struct(F.lit("size").alias("p"), agreement(F.col("a_size"), F.col("b_size"), 20.0).alias("s")), F.struct(F.lit("price").alias("p"), agreement(F.col("a_price"), F.col("b_price"), 0.5, relative=True).alias("s"))))
-    g = j.select(props.alias("x")).groupBy(F.col("x.p").alias("property")).agg(F.count(F.lit(1)).alias("n"), F.percentile("x.s", F.array(*map(F.lit, (0.25, 0.5, 0.75, 0.95)))).alias("q"))
+    g = exact_quantiles(j.select(props.alias("x")).select(F.col("x.p").alias("property"), F.col("x.s").alias("s")), ["property"], "s", (0.25, 0.5, 0.75, 0.95))
     return g.select("property", "n", *[F.round(F.col("q")[k], 6).alias(f"p{v}") for k, v in enumerate((25, 50, 75, 95))])
 
 

@@ -2,46 +2,34 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tessera.functions.columns import SQL_BUCKET, md5_bucket, split_of
-from tessera.session import table
+from tessera.operators.ranks import running_totals
+from tessera.session import table, written
 
 
 def hash_split(key: Column) -> Column:
     return split_of(md5_bucket(F.coalesce(key.cast("string"), F.lit("unknown"))))
 
 
-def _cut(df: DataFrame) -> DataFrame:
-    """Writes df under spark.checkpoint.dir (a temporary folder only where that is unset) and reads it again."""
-    spark = df.sparkSession
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + os.path.join(tempfile.gettempdir(), "tessera")
-    path = f"{base.rstrip('/')}/components-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
-    return spark.read.schema(df.schema).parquet(path)
-
+def connected(edges: DataFrame) -> DataFrame:
+    """node, component (its smallest node) of undirected edges a-b: labels fall to the neighbours' least, then to their label's label.
 
-def connected(edges: DataFrame, rounds: int = 100) -> DataFrame:
-    """node, component (its smallest node) of undirected edges a-b: labels fall to the neighbours' least, then to their label's label."""
-    both = _cut(edges.select("a", "b").union(edges.select("b", "a")).where("a <> b").distinct())
-    labels = _cut(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("component")))
-    for _ in range(rounds):
+    A label that can fall does, and labels are nodes, so the rounds end; paths halve with each.
+    """
+    both = written(edges.select("a", "b").union(edges.select("b", "a")).where("a <> b").distinct(), "edges")
+    labels = written(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("component")), "components")
+    while True:
         low = both.join(labels, F.col("b") == F.col("node")).groupBy("a").agg(F.min("component").alias("m"))
         fallen = labels.join(low, F.col("node") == F.col("a")).select("node", F.col("component").alias("old"), F.least("component", "m").alias("low"))
-        jump = labels.select(F.col("node").alias("j"), F.col("component").alias("jc"))
-        moved = _cut(fallen.join(jump, F.col("low") == F.col("j"), "left").select("node", "old", F.least("low", F.coalesce("jc", "low")).alias("component")))
+        own = labels.select(F.col("node").alias("n"), F.col("component").alias("c"))
+        moved = written(fallen.join(own, F.col("low") == F.col("n"), "left").select("node", F.least("low", F.coalesce("c", "low")).alias("component"), "old"), "components")
         labels = moved.select("node", "component")
         if not moved.where("component <> old").limit(1).count():
             return labels
-    raise RuntimeError("components did not settle")
 
 
 def hash_bucket_split(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,10 +116,9 @@ def ndcg_at_10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def roc_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """By rank sums over distinct scores."""
-    r = _predictions(spark, sf_dir).select(F.lit(1).alias("k"), (F.col("label") >= 3).alias("pos"), F.floor(F.col("p") / 20).cast("double").alias("s"))
-    g = r.groupBy("k", "s").agg(F.count(F.lit(1)).alias("n"), F.count_if("pos").alias("np"))
-    w = W.partitionBy("k").orderBy("s")  # distinct binned scores: a fixed number of bins
-    ranked = g.withColumn("rank", F.sum("n").over(w) - (F.col("n") - 1) / 2)
+    r = _predictions(spark, sf_dir).select((F.col("label") >= 3).alias("pos"), F.floor(F.col("p") / 20).cast("double").alias("s"))
+    g = r.groupBy("s").agg(F.count(F.lit(1)).alias("n"), F.count_if("pos").alias("np"))
+    ranked = running_totals(g, "s", "n").withColumn("rank", F.col("until") - (F.col("n") - 1) / 2)
     a = ranked.agg(F.sum(F.col("rank") * F.col("np")).alias("rs"), F.sum("np").alias("p"), F.sum(F.col("n") - F.col("np")).alias("q"))
     return a.select(F.round((F.col("rs") - F.col("p") * (F.col("p") + 1) / 2) / (F.col("p") * F.col("q")), 6).alias("auc"))
 

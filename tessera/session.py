@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -24,3 +28,18 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Writes df below spark.checkpoint.dir and reads it again: the lineage ends there, and the table goes with the driver's JVM. Where the setting is missing, a temporary folder of a single machine, or an error on a cluster."""
+    spark = df.sparkSession
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        base = "file://" + os.path.join(tempfile.gettempdir(), "tessera")
+    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    return spark.read.schema(df.schema).parquet(path)
