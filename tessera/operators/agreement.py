@@ -43,11 +43,34 @@ def _score() -> Column:
     return (agreement(F.col("a_size"), F.col("b_size"), 20.0) + agreement(F.col("a_price"), F.col("b_price"), 0.5, relative=True)) / 2
 
 
+def _mean_over_partners(rows: DataFrame) -> DataFrame:
+    """partners, score of every row (formula, side, key, size, price > 0): the mean agreement with all rows of the other side, without a pair.
+
+    The agreement falls in straight lines from 1 at equality to 0 at the tolerance, so that its sum over the partners below a
+    row and over those above it hangs on their number, sum and sum of reciprocals alone, which are differences of sums up to a bound.
+    """
+    def upto(order: str, bound: float, value: Column) -> Column:
+        w = W.partitionBy("formula").orderBy(order).rangeBetween(W.unboundedPreceding, bound)
+        sums = F.array(*[F.coalesce(F.sum(F.when(F.col("side") == s, value)).over(w), F.lit(0)).cast("double") for s in (2, 1)])
+        return F.element_at(sums, F.col("side"))
+
+    a, p, one = F.col("size"), F.col("price"), F.lit(1)
+    rows = rows.withColumn("x", F.log2("price"))
+    sized = {f"{n}{k}": upto("size", b, v) for n, v in (("c", one), ("s", a)) for k, b in (("0", -20), ("1", 0), ("2", 20))}
+    priced = {f"p{n}{k}": upto("x", b, v) for n, v in (("c", one), ("s", p), ("r", 1 / p)) for k, b in (("0", -1), ("1", 0), ("2", 1))}
+    d = rows.withColumns(sized).withColumns(priced).withColumn("partners", F.element_at(F.array(*[F.count_if(F.col("side") == s).over(W.partitionBy("formula")) for s in (2, 1)]), F.col("side")))
+    c = lambda name: F.col(name)
+    below, above = lambda n: c(f"{n}1") - c(f"{n}0"), lambda n: c(f"{n}2") - c(f"{n}1")
+    by_size = below("c") * (1 - a / 20) + below("s") / 20 + above("c") * (1 + a / 20) - above("s") / 20
+    by_price = 2 * below("ps") / p - below("pc") + 2 * p * above("pr") - above("pc")
+    return d.where("partners > 0").select("formula", "key", "partners", ((by_size + by_price) / 2 / c("partners")).alias("score"))
+
+
 def cross_source_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both sides of every pair with equal formula; a record's score is the mean over its pairs."""
-    j = _sides(spark, sf_dir).withColumn("s", _score())
-    both = j.select("formula", "s", F.explode(F.array("a_key", "b_key")).alias("key"))
-    return both.groupBy("formula", "key").agg(F.count(F.lit(1)).alias("partners"), F.round(F.avg("s"), 4).alias("score"))
+    """Materials of both sources with partners of equal formula in the other; a record's score is its mean agreement with them."""
+    p = table(spark, sf_dir, "part")
+    rows = p.select(F.concat_ws("/", "p_brand", "p_type").alias("formula"), F.col("p_partkey").alias("key"), F.when(F.col("p_partkey") % 2 == 1, 1).otherwise(2).alias("side"), F.col("p_size").cast("double").alias("size"), F.col("p_retailprice").alias("price"))
+    return _mean_over_partners(rows.where("price > 0")).select("formula", "key", "partners", F.round("score", 4).alias("score"))
 
 
 def agreement_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
