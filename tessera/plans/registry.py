@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from tessera.operators import agreement, benchmarks, builders, chemistry, consensus, curation, evidence, extraction, lookups, materials, models, quality, relational, retrieval, review, splits
+from tessera.operators import agreement, benchmarks, builders, chemistry, consensus, curation, evidence, extraction, lookups, materials, models, normalization, quality, relational, retrieval, review, splits
 from tessera.streaming import feeds
 
-MODULES = (consensus, relational, builders, lookups, evidence, chemistry, materials, extraction, curation, agreement, quality, review, splits, benchmarks, retrieval, models, feeds)
+MODULES = (consensus, relational, builders, lookups, evidence, normalization, chemistry, materials, extraction, curation, agreement, quality, review, splits, benchmarks, retrieval, models, feeds)
 
 
 def queries() -> dict:

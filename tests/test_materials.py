@@ -6,9 +6,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.functions import materials as mt
+from tessera.operators import agreement as ag
 from tessera.operators import builders as bd
 from tessera.operators import evidence as ev
 from tessera.operators import lookups as lk
+from tessera.operators import normalization as nm
+from tessera.operators import ranks as rk
 
 
 def many(spark, rows, schema, column):
@@ -102,3 +105,75 @@ def test_schema_report_and_temperatures(spark):
     rows = [(None, (20.0, 30.0, None, None, None, None)), (None, (None, None, 293.15, 303.15, None, None)), (7.0, None), (None, None)]
     c = bd.one_celsius(F.col("n"), F.col("s"))
     assert many(spark, rows, "n double, s struct<min_C:double,max_C:double,min_K:double,max_K:double,min:double,max:double>", c) == [25.0, pytest.approx(25.0), 7.0, None]
+
+
+def test_frequencies(spark):
+    rows = [("1 Hz - 7 MHz", (1.0, 7e6)), ("10–2 to 106 Hz", (1e-2, 1e6)), ("0.01 to 10⁶ Hz", (0.01, 1e6)), ("5 kHz", (5e3, None)), ("7 MHz (NMR)", None), ("no", None), (None, None)]
+    got = many(spark, [(t,) for t, _ in rows], "t string", nm.frequency_range(F.col("t")))
+    assert [tuple(r) if r else None for r in got] == [w for _, w in rows]
+
+
+def brute_chunks(text, most, least):
+    out, open_ = [], ""
+    for p in (x.strip() for x in text.split("\n\n")):
+        if not p:
+            continue
+        if "|" in p[:80] and len(p) > 60:
+            out += [open_] * bool(open_) + [p]
+            open_ = ""
+        elif len(open_) + len(p) > most:
+            out += [open_] * bool(open_)
+            open_ = p
+        else:
+            open_ = f"{open_}\n\n{p}" if open_ else p
+    return [c for c in out + [open_] * bool(open_) if len(c) >= least]
+
+
+def test_chunks_against_brute_force(spark):
+    import random
+
+    r = random.Random(6)
+    texts = ["\n\n".join(r.choice(["", " a b", "x" * r.randint(1, 60), "| c | " + "d" * 70, "é " * r.randint(1, 40)]) for _ in range(r.randint(0, 30))) for _ in range(40)] + ["", "y" * 5000]
+    got = many(spark, [(t,) for t in texts], "t string", nm.paragraph_chunks(F.col("t"), 120, 15))
+    assert got == [brute_chunks(t, 120, 15) for t in texts]
+
+
+def test_prepass(spark):
+    text = "Li3PS4 gave 3.2 x 10-4 S/cm; Na3SbS4 1.1e-3 S cm, and 5 S/cm"
+    got, none, empty = many(spark, [(text,), (None,), ("",)], "t string", nm.regex_prepass(F.col("t")))
+    assert [(c["composition"], c["sigma"]) for c in got] == [("Li3PS4", pytest.approx(3.2e-4)), ("Na3SbS4", pytest.approx(1.1e-3))] and none is None and empty == []
+
+
+def test_flagged_fields_go(spark):
+    rows = [({"a": "1", "b": "2"}, ["a=1", "=", "zz"]), ({"a": "1"}, None), (None, ["a=1"])]
+    assert many(spark, rows, "m map<string,string>, s array<string>", nm.without_flagged(F.col("m"), F.col("s"))) == [{"b": "2"}, {"a": "1"}, None]
+
+
+def test_quantiles_and_totals_against_brute_force(spark):
+    import random
+
+    import numpy as np
+
+    r = random.Random(8)
+    rows = [(k % 3, r.choice([r.uniform(-9, 9), 4.0, 4.0])) for k in range(2000)] + [(7, 1.0), (8, None), (9, 2.0), (9, 3.0)]
+    got = {x.k: (x.n, x.q) for x in rk.exact_quantiles(spark.createDataFrame(rows, "k int, v double"), ["k"], "v", (0.0, 0.3, 0.5, 0.97, 1.0)).collect()}
+    for k in {k for k, v in rows if v is not None}:
+        own = [v for j, v in rows if j == k]
+        assert got[k][0] == len(own) and got[k][1] == pytest.approx(list(np.quantile(own, (0.0, 0.3, 0.5, 0.97, 1.0))))
+    assert 8 not in got
+    totals = {x.v: x.until for x in rk.running_totals(spark.createDataFrame([(float(v), v % 5) for v in range(300)], "v double, n int"), "v", "n").collect()}
+    assert totals == {float(v): sum(j % 5 for j in range(v + 1)) for v in range(300)}
+
+
+def test_agreement_without_pairs(spark):
+    import random
+
+    r = random.Random(9)
+    rows = [(r.choice("ab"), k, r.choice((1, 2)), float(r.randint(0, 40)), r.choice([10.0, 20.0, r.uniform(1, 60)])) for k in range(150)] + [("alone", 999, 1, 1.0, 1.0)]
+    got = {x.key: (x.partners, x.score) for x in ag._mean_over_partners(spark.createDataFrame(rows, "formula string, key int, side int, size double, price double")).collect()}
+    want = {}
+    for f, k, s, z, p in rows:
+        scores = [(max(0, 1 - abs(z - z2) / 20) + max(0, 1 - abs(p - p2) / max(p, p2) / 0.5)) / 2 for f2, _, s2, z2, p2 in rows if f2 == f and s2 != s]
+        if scores:
+            want[k] = (len(scores), pytest.approx(sum(scores) / len(scores), abs=1e-9))
+    assert got == want
