@@ -140,8 +140,7 @@ def family_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
 def records_per_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts per flag, per status and per ship year, in one pass."""
     rows = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_linestatus", F.year("l_shipdate").alias("y"))
-    rows.createOrReplaceTempView("_records")
-    g = spark.sql("select l_returnflag, l_linestatus, y, count(*) n from _records group by grouping sets ((l_returnflag), (l_linestatus), (y))")
+    g = rows.groupingSets([["l_returnflag"], ["l_linestatus"], ["y"]], "l_returnflag", "l_linestatus", "y").agg(F.count(F.lit(1)).alias("n"))
     dim = F.when(F.col("l_returnflag").isNotNull(), "flag").when(F.col("l_linestatus").isNotNull(), "status").otherwise("year")
     return g.select(dim.alias("dimension"), F.coalesce("l_returnflag", "l_linestatus", F.col("y").cast("string")).alias("value"), "n")
 

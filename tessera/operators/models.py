@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators.splits import hash_split
-from tessera.session import table
+from tessera.session import table, written
 
 FEATURES = ["p_size", "n_papers", "mean_quantity", "mean_discount"]
 
@@ -37,7 +37,7 @@ def classifiers() -> dict:
 
 def ml_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean absolute error on the test families: dummy (mean), ridge, forest."""
-    f = features(spark, sf_dir).cache()
+    f = written(features(spark, sf_dir), "features")
     train, test = f.where("split = 'train'"), f.where("split = 'test'")
     mean = train.agg(F.avg("y")).head()[0]
     out = test.agg(F.lit("dummy").alias("model"), F.round(F.avg(F.abs(F.col("y") - F.lit(mean))), 4).alias("mae"))

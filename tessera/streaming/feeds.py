@@ -46,16 +46,57 @@ def first_seen(events: DataFrame) -> DataFrame:
     return events.groupBy("user_id").applyInPandasWithState(update, "user_id long, is_new boolean, events long", "n long", "update", GroupStateTimeout.NoTimeout)
 
 
-def upsert_by_batch(path: str, keys: list[str]):
-    """For foreachBatch: the latest row of every key, rewritten as a new snapshot next to the old one."""
+def _steps(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the finished steps below a path, ascending; one that a failure left unfinished isn't among them."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(hadoop):
+        return []
+    names = [f.getPath() for f in fs.listStatus(hadoop) if f.getPath().getName().startswith("step=")]
+    return sorted(int(p.getName()[5:]) for p in names if fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")))
+
+
+def current(spark: SparkSession, path: str) -> DataFrame | None:
+    """The state that upsert_by_batch keeps, or None before its first batch: of every bucket the last step that wrote it."""
+    steps = _steps(spark, path)
+    if not steps:
+        return None
+    rows = spark.read.option("basePath", path).option("mergeSchema", "true").parquet(*[f"{path}/step={k}" for k in steps])
+    last = rows.groupBy("bucket").agg(F.max("step").alias("step"))  # a row per bucket
+    return rows.join(F.broadcast(last), ["bucket", "step"], "left_semi").drop("bucket", "step")
+
+
+def upsert_by_batch(path: str, keys: list[str], version: str | None = None, buckets: int = 16):
+    """For foreachBatch: keeps the latest row of every key, in buckets of keys; a batch rewrites the buckets that it touches alone.
+
+    Latest is the largest version, in the batch and against the state; without one the batch comes after the state, and of a batch's
+    equal keys the largest row. The numbers of batches don't matter: a batch that runs again, or the first one after a lost
+    checkpoint, is put on what stands. Null keys are a key.
+    """
+
+    def latest(df: DataFrame, names: list[str]) -> DataFrame:
+        order = F.struct(*([version] if version else []), *names)
+        return df.groupBy(*keys).agg(F.max(F.struct(order.alias("o"), F.struct(*names).alias("row"))).alias("x")).select("x.row.*")
 
     def apply(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        new = batch.dropDuplicates(keys)
-        if number:
-            old = spark.read.parquet(f"{path}/snapshot={number - 1}")
-            new = new.unionByName(old.join(new.select(*keys), keys, "left_anti"), allowMissingColumns=True)
-        new.write.mode("overwrite").parquet(f"{path}/snapshot={number}")
+        spark, names = batch.sparkSession, batch.columns
+        bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+        new = latest(batch, names).withColumn("bucket", bucket)
+        touched = [r["bucket"] for r in new.select("bucket").distinct().collect()]  # `buckets` values at most
+        if not touched:
+            return
+        old = current(spark, path)
+        if old is not None:
+            kept = old.withColumn("bucket", bucket).where(F.col("bucket").isin(*touched))
+            if version:
+                both = new.drop("bucket").unionByName(kept.drop("bucket"), allowMissingColumns=True)
+                new = latest(both, both.columns).withColumn("bucket", bucket)
+            else:
+                mine = new.select(*[F.col(k).alias(f"_{k}") for k in keys])
+                same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+                new = new.unionByName(kept.join(mine, same, "left_anti"), allowMissingColumns=True)
+        step = max(_steps(spark, path), default=-1) + 1
+        new.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/step={step}")
 
     return apply
 
