@@ -6,6 +6,8 @@ row a measured record, orders the review queue.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -120,12 +122,20 @@ def redflag_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def anomaly_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Checks in one pass over the rows: name, severity, number; the scan passes if no high one has rows."""
+    """Eight checks: name, severity, number of offenders. Row checks share one scan; a duplicated key counts all its rows, a paper of several materials once."""
     li = table(spark, sf_dir, "lineitem")
-    checks = (("nonpositive_value", "high", F.col("l_extendedprice") <= 0), ("large_discount", "medium", F.col("l_discount") >= 0.1), ("no_tax", "low", F.col("l_tax") == 0), ("old_shipment", "medium", F.year("l_shipdate") < 1993))
+    checks = (
+        ("negative_activation_energy", "high", F.col("l_discount") < 0), ("negative_conductivity", "high", F.col("l_extendedprice") - 1000 < 0),
+        ("density_exceeds_theoretical", "medium", F.col("l_tax") * 100 > 5 * 1.05), ("temperature_below_zero_k", "high", F.col("l_quantity") - 2 < 0),
+        ("missing_composition", "high", F.col("l_partkey").isNull() | (F.trim(F.col("l_partkey").cast("string")) == "")), ("charge_imbalance", "medium", (F.col("l_returnflag") == "A") & (F.col("l_linestatus") == "O")),
+    )
     row = li.agg(*[F.count_if(c).alias(n) for n, _, c in checks])
-    pairs = F.explode(F.array(*[F.struct(F.lit(n).alias("check"), F.lit(s).alias("severity"), F.col(n).alias("n")) for n, s, _ in checks]))
-    return row.select(pairs.alias("p")).select("p.*")
+    single = row.select(F.explode(F.array(*[F.struct(F.lit(n).alias("check"), F.lit(s).alias("severity"), F.col(n).alias("n")) for n, s, _ in checks])).alias("p")).select("p.*")
+    ends = li.where("l_suppkey is not null").groupBy("l_suppkey").agg(F.min("l_partkey").alias("a"), F.max("l_partkey").alias("z"))
+    papers = ends.agg(F.lit("duplicate_doi").alias("check"), F.lit("low").alias("severity"), F.count_if(F.col("a") < F.col("z")).alias("n"))
+    copies = li.groupBy("l_suppkey", "l_partkey", "l_extendedprice").agg(F.count(F.lit(1)).alias("c"))
+    rows = copies.agg(F.lit("duplicate_experiment").alias("check"), F.lit("medium").alias("severity"), F.coalesce(F.sum(F.when(F.col("c") > 1, F.col("c"))), F.lit(0)).alias("n"))
+    return single.unionByName(papers).unionByName(rows)
 
 
 def unit_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -169,20 +179,62 @@ def rejection_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.select("o_orderpriority", F.col("F").alias("approved"), F.col("O").alias("pending"), F.col("P").alias("rejected"), F.round(F.try_divide(100.0 * F.col("P"), decided), 6).alias("rate"))
 
 
+#: Gate -> the metrics that it asks for, each at least ("min") or at most ("max") a threshold; all must hold.
+GATES = {
+    "total_records": (("rows", "min", 1000.0),),
+    "verified_labels": (("labels", "min", 500.0),),
+    "materials": (("materials", "min", 100.0),),
+    "relational_model": (("materials", "min", 100.0), ("experiments", "min", 500.0), ("rows", "min", 1000.0)),
+    "pending_queue": (("pending", "max", 0.0),),
+    "evidence_quality": (("page_pct", "min", 80.0), ("sentence_pct", "min", 80.0)),
+    "duplicate_rate": (("duplicate_pct", "max", 1.0),),
+    "metadata_completeness": (("temperature_pct", "min", 95.0), ("method_pct", "min", 80.0)),
+    "doi_coverage": (("doi_pct", "min", 99.0),),
+    "health_report": (("rows", "min", 1.0),),
+    "gold_tier": (("gold_pct", "min", 30.0),),
+    "canonical_quality": (("scored", "min", 1000.0), ("score", "min", 50.0)),
+    "anomalies": (("high_anomalies", "max", 0.0),),
+    "unit_audit": (("invalid_units", "max", 0.0),),
+    "provenance": (("doi_pct", "min", 99.0), ("sentence_pct", "min", 80.0), ("confidence_pct", "min", 90.0)),
+    "families": (("families", "min", 5.0), ("largest_family_pct", "max", 60.0)),
+    "negative_results": (("negative_pct", "min", 5.0),),
+    "consensus_groups": (("several_papers", "min", 100.0),),
+}
+
+
+def gates_of(metrics: DataFrame, spec: dict = GATES) -> DataFrame:
+    """gate, measured (its first metric), ok, of a row of metrics; a metric without a value fails."""
+    holds = lambda m, kind, t: F.coalesce(F.col(m) >= t if kind == "min" else F.col(m) <= t, F.lit(False))
+    rows = [F.struct(F.lit(g).alias("gate"), F.round(F.col(parts[0][0]).cast("double"), 6).alias("measured"), reduce(Column.__and__, [holds(*x) for x in parts]).alias("ok")) for g, parts in spec.items()]
+    return metrics.select(F.explode(F.array(*rows)).alias("g")).select("g.*")
+
+
+def release_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the gates ask for, as one row: one scan of the records and narrow aggregates beside it."""
+    li, o = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
+    pct = lambda c, name: (F.avg(c.cast("int")) * 100).alias(name)
+    own = li.agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("l_returnflag") == "A").alias("labels"), pct(F.col("l_linenumber") > 1, "page_pct"), pct(F.col("l_discount") > 0, "sentence_pct"), pct(F.col("l_quantity").isNotNull(), "temperature_pct"),
+        pct(F.col("l_tax") > 0, "method_pct"), pct(F.col("l_suppkey").isNotNull(), "doi_pct"), pct((F.col("l_quantity") > 25) & (F.col("l_tax") > 0.02), "gold_pct"), F.count("l_quantity").alias("scored"), (F.avg("l_quantity") * 2).alias("score"),
+        F.count_if(F.col("l_extendedprice") <= 0).alias("invalid_units"), pct(F.col("l_discount") < 0.1, "confidence_pct"), pct(F.col("l_returnflag") == "R", "negative_pct"),
+    )
+    materials = li.groupBy("l_partkey").agg(F.min("l_suppkey").alias("a"), F.max("l_suppkey").alias("z")).agg(F.count("l_partkey").alias("materials"), F.count_if(F.col("a") < F.col("z")).alias("several_papers"))
+    experiments = li.groupBy("l_partkey", "l_suppkey", "l_quantity").agg(F.count(F.lit(1)).alias("c")).agg(F.count(F.lit(1)).alias("experiments"), (100 * F.sum(F.when(F.col("c") > 1, F.col("c")).otherwise(0)) / F.sum("c")).alias("duplicate_pct"))
+    families = table(spark, sf_dir, "part").groupBy("p_brand").agg(F.count(F.lit(1)).alias("n")).agg(F.count(F.lit(1)).alias("families"), (100 * F.max("n") / F.sum("n")).alias("largest_family_pct"))
+    pending = o.agg(F.count_if(F.col("o_orderstatus") == "O").alias("pending"))
+    high = anomaly_scan(spark, sf_dir).agg(F.count_if((F.col("severity") == "high") & (F.col("n") > 0)).alias("high_anomalies"))
+    return reduce(lambda a, b: a.crossJoin(F.broadcast(b)), (own, materials, experiments, families, pending, high))  # one row each
+
+
 def release_gates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Measured metrics against thresholds."""
-    li = table(spark, sf_dir, "lineitem")
-    row = li.agg(F.count(F.lit(1)).cast("double").alias("rows"), F.countDistinct("l_partkey").cast("double").alias("materials"), F.round(F.avg((F.col("l_discount") > 0).cast("int")), 6).alias("coverage"), F.count_if(F.col("l_extendedprice") <= 0).cast("double").alias("bad"))
-    gates = (("rows", "min", 1000.0), ("materials", "min", 100.0), ("coverage", "min", 0.95), ("bad", "max", 0.0))
-    pairs = F.explode(F.array(*[F.struct(F.lit(m).alias("gate"), F.col(m).alias("metric"), F.lit(t).alias("threshold"), (F.col(m) >= t if kind == "min" else F.col(m) <= t).alias("ok")) for m, kind, t in gates]))
-    return row.select(pairs.alias("p")).select("p.*")
+    """The computed gates of a release: what is measured, and whether it is enough."""
+    return gates_of(release_metrics(spark, sf_dir))
 
 
 def queue_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts by status and by band of confidence, in grouping sets."""
     o = table(spark, sf_dir, "orders").select("o_orderstatus", F.when(F.col("o_totalprice") >= 200_000, "high").when(F.col("o_totalprice") >= 100_000, "middle").otherwise("low").alias("band"))
-    o.createOrReplaceTempView("_queue")
-    return spark.sql("select o_orderstatus, band, count(*) n from _queue group by grouping sets ((o_orderstatus), (band), ())")
+    return o.groupingSets([["o_orderstatus"], ["band"], []], "o_orderstatus", "band").agg(F.count(F.lit(1)).alias("n"))
 
 
 def missing_recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -205,6 +257,7 @@ _REC = """with p as (select *, case when l_returnflag = 'A' then 25 else 0 end h
 cast(case when l_linenumber > 5 then 5 else round_even(l_linenumber::double / 5 * 15, 0) end as int) agreement, least(10, least(l_linenumber, 3) * 2 + 4 * (l_discount > 0)::int) depth, case when l_extendedprice > 90000 then -10 else 0 end penalty, l_discount > 0 or l_tax > 0 seen from lineitem),
 t as (select *, greatest(0, least(100, human + evidence + metadata + agreement + depth + penalty)) total from p), s as (select *, case when not seen and human = 0 then least(total, 30) else total end score from t)"""
 _FLAGS = "select l_orderkey, l_linenumber, l_partkey, 'sigma_out_of_range' flag, 'high' severity from lineitem where not l_extendedprice * 1e-7 between 1e-4 and 8e-3 union all select l_orderkey, l_linenumber, l_partkey, 'ea_out_of_range', 'medium' from lineitem where not l_discount * 10 between 0.05 and 0.95 union all select l_orderkey, l_linenumber, l_partkey, 'arrhenius', 'high' from lineitem where l_extendedprice > 0 and l_discount > 0 and not l_extendedprice * 1e-7 / exp(-l_discount * 10 / (8.617333262e-5 * 298)) between 10 and 1e5 union all select l_orderkey, l_linenumber, l_partkey, 'type_missing', 'low' from lineitem where l_returnflag = 'N' and l_linenumber > 4"
+_holds = lambda parts: " and ".join(f"{m} {'>=' if kind == 'min' else '<='} {t}" for m, kind, t in parts)
 SQL = {
     "negative_signals_3vl": f"{_NEG} select * from n",
     "negative_summary": f"{_NEG} select p_brand, count(*) n, count(*) filter (is_negative is null) unknown, round(100.0::double * count(*) filter (coalesce(is_negative, false)) / count(*), 4) share, " + ", ".join(f"count(*) filter (contains(reasons, '{s}')) {s}" for s in SIGNALS) + " from n group by 1",
@@ -213,13 +266,31 @@ SQL = {
     "tier_assignment": f"{_REC} select case when l_quantity > 49 then 'rejected' when human = 0 then case when score >= 60 then 'bronze' else 'rejected' end when seen and l_linenumber in (4, 5) and score >= 75 and l_quantity > 10 and l_linestatus = 'F' then 'gold' when seen then 'silver' else 'rejected' end tier, {_G} grade, count(*) n, round(avg(score), 6) avg_score from s group by 1, 2",
     "redflags": _FLAGS,
     "redflag_summary": f"select flag, severity, count(*) n, count(distinct l_partkey) materials from ({_FLAGS}) group by 1, 2",
-    "anomaly_scan": "select 'nonpositive_value' as check, 'high' severity, count(*) filter (l_extendedprice <= 0) n from lineitem union all select 'large_discount', 'medium', count(*) filter (l_discount >= 0.1) from lineitem union all select 'no_tax', 'low', count(*) filter (l_tax = 0) from lineitem union all select 'old_shipment', 'medium', count(*) filter (year(l_shipdate) < 1993) from lineitem",
+    "anomaly_scan": """
+    select 'negative_activation_energy' as "check", 'high' as severity, count(*) filter (l_discount < 0) as n from lineitem
+    union all select 'negative_conductivity', 'high', count(*) filter (l_extendedprice < 1000) from lineitem
+    union all select 'density_exceeds_theoretical', 'medium', count(*) filter (l_tax * 100 > 5.25) from lineitem
+    union all select 'temperature_below_zero_k', 'high', count(*) filter (l_quantity < 2) from lineitem
+    union all select 'missing_composition', 'high', count(*) filter (l_partkey is null) from lineitem
+    union all select 'charge_imbalance', 'medium', count(*) filter (l_returnflag = 'A' and l_linestatus = 'O') from lineitem
+    union all select 'duplicate_doi', 'low', count(*) from (select l_suppkey from lineitem group by 1 having count(distinct l_partkey) > 1)
+    union all select 'duplicate_experiment', 'medium', coalesce(sum(c), 0)::bigint from (select count(*) as c from lineitem group by l_suppkey, l_partkey, l_extendedprice having count(*) > 1)""",
     "unit_audit": "select l_returnflag, count(*) n, count(*) filter (not l_extendedprice between 1000 and 90000) value_outside, count(*) filter (not l_discount between 0.01 and 0.09) ea_outside, count(*) filter (l_quantity < 0) temperature_outside from lineitem group by 1",
     "field_coverage": "select l_linestatus, round(avg((l_discount > 0)::int) * 100, 6) discount, round(avg((l_tax > 0)::int) * 100, 6) tax, round(avg((l_quantity > 25)::int) * 100, 6) quantity from lineitem where l_returnflag <> 'N' group by 1",
     "drift": "with c as (select l_linenumber as family, avg((l_discount > 0.05)::int) filter (year(l_shipdate) = 1996) * 100 a, avg((l_discount > 0.05)::int) filter (year(l_shipdate) = 1997) * 100 b from lineitem where year(l_shipdate) in (1996, 1997) group by 1) select family, round(coalesce(b, 0) - coalesce(a, 0), 6) delta from c where abs(round(coalesce(b, 0) - coalesce(a, 0), 6)) > 0.2",
     "rejection_reasons": "select role, case when regexp_matches(text, '^https?://') then 'url' when regexp_matches(text, '[0-9]{3}') then 'numbers' when contains(text, '\"') then 'quoted' when contains(text, '|') then 'table' when contains(text, '?') then 'question' else 'other' end reason, count(*) n from conversations group by 1, 2 order by n desc, role, reason limit 10",
     "rejection_statistics": "with g as (select o_orderpriority, count(*) filter (o_orderstatus = 'F') approved, count(*) filter (o_orderstatus = 'O') pending, count(*) filter (o_orderstatus = 'P') rejected from orders group by 1) select *, round(100.0::double * rejected / nullif(approved + rejected, 0), 6) rate from g",
-    "release_gates": "with r as (select count(*)::double a, count(distinct l_partkey)::double b, round(avg((l_discount > 0)::int), 6) c, (count(*) filter (l_extendedprice <= 0))::double d from lineitem) select 'rows' gate, a metric, 1000.0::double threshold, a >= 1000 ok from r union all select 'materials', b, 100, b >= 100 from r union all select 'coverage', c, 0.95, c >= 0.95 from r union all select 'bad', d, 0, d <= 0 from r",
+    "release_gates": f"""
+    with own as (select count(*) as rows, count(*) filter (l_returnflag = 'A') as labels, avg((l_linenumber > 1)::int) * 100 as page_pct, avg((l_discount > 0)::int) * 100 as sentence_pct, avg((l_quantity is not null)::int) * 100 as temperature_pct,
+      avg((l_tax > 0)::int) * 100 as method_pct, avg((l_suppkey is not null)::int) * 100 as doi_pct, avg((l_quantity > 25 and l_tax > 0.02)::int) * 100 as gold_pct, count(l_quantity) as scored, avg(l_quantity) * 2 as score,
+      count(*) filter (l_extendedprice <= 0) as invalid_units, avg((l_discount < 0.1)::int) * 100 as confidence_pct, avg((l_returnflag = 'R')::int) * 100 as negative_pct,
+      (count(*) filter (l_discount < 0) > 0)::int + (count(*) filter (l_extendedprice < 1000) > 0)::int + (count(*) filter (l_quantity < 2) > 0)::int + (count(*) filter (l_partkey is null) > 0)::int as high_anomalies from lineitem),
+    m as (select count(*) as materials, count(*) filter (p > 1) as several_papers from (select count(distinct l_suppkey) as p from lineitem group by l_partkey)),
+    e as (select count(*) as experiments, 100 * sum(case when c > 1 then c else 0 end) / sum(c) as duplicate_pct from (select count(*) as c from lineitem group by l_partkey, l_suppkey, l_quantity)),
+    f as (select count(*) as families, 100 * max(n) / sum(n) as largest_family_pct from (select count(*) as n from part group by p_brand)),
+    o as (select count(*) filter (o_orderstatus = 'O') as pending from orders),
+    x as (select * from own, m, e, f, o)
+    {' union all '.join(f"select '{g}' as gate, round({parts[0][0]}::double, 6) as measured, {_holds(parts)} as ok from x" for g, parts in GATES.items())}""",
     "queue_summary": "select o_orderstatus, band, count(*) n from (select o_orderstatus, case when o_totalprice >= 200000 then 'high' when o_totalprice >= 100000 then 'middle' else 'low' end band from orders) group by grouping sets ((o_orderstatus), (band), ())",
     "missing_recommendations": "with a as (select * from lineitem where l_returnflag = 'A'), g as (select 'l_discount' field, count(*) missing, min(l_orderkey) first_id, max(l_orderkey) last_id from a where l_discount = 0 union all select 'l_tax', count(*), min(l_orderkey), max(l_orderkey) from a where l_tax = 0) select field, missing, first_id, last_id, round(100.0::double * missing / (select count(*) from a), 1) pct from g where missing > 0",
 }
