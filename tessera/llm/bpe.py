@@ -44,12 +44,26 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
+def unsupported(spec: dict) -> None:
+    """Raises where a file asks for something else than byte-level words and plain merges."""
+    model, pre = spec["model"], spec.get("pre_tokenizer") or {}
+    wrong = {
+        "normalizer": spec.get("normalizer") not in (None, {}),
+        "pre_tokenizer": pre.get("type") != "ByteLevel" or pre.get("add_prefix_space", True) or not pre.get("use_regex", True),
+        "model": model.get("type", "BPE") != "BPE" or any(model.get(k) for k in ("dropout", "ignore_merges", "byte_fallback", "continuing_subword_prefix", "end_of_word_suffix")),
+        "added_tokens": any(t.get(k) for t in spec["added_tokens"] for k in ("lstrip", "rstrip", "single_word")) or any(t.get("normalized") and spec.get("normalizer") for t in spec["added_tokens"]),
+    }
+    if any(wrong.values()):
+        raise ValueError(f"not a plain byte-level vocabulary: {', '.join(k for k, bad in wrong.items() if bad)}")
+
+
 class BytePairCodec:
     """Encodes and decodes with a byte-level vocabulary file of the tokenizers library."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
+        unsupported(spec)
         letters = byte_letters()
         spell = lambda token: bytes(letters[c] for c in token)
         self.vocab = {spell(t): i for t, i in spec["model"]["vocab"].items()}

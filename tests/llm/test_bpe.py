@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import json
 
 import pytest
 from hypothesis import given, settings
@@ -43,3 +44,16 @@ def test_table(spark, library):
         assert r.ids == ids and r.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256((text or "").encode()).hexdigest()
     assert bpe.encode_documents(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("part, value", [("normalizer", {"type": "Lowercase"}), ("pre_tokenizer", {"type": "ByteLevel", "add_prefix_space": True, "use_regex": True}), ("pre_tokenizer", {"type": "Whitespace"}), ("added_tokens", [{"id": 0, "content": "x", "lstrip": True}])])
+def test_other_files_are_refused(tmp_path, part, value):
+    with open(bpe.vocabulary(), encoding="utf-8") as f:
+        spec = json.load(f)
+    bpe.unsupported(spec)
+    (tmp_path / "v.json").write_text(json.dumps(spec | {part: value}))
+    with pytest.raises(ValueError, match=part):
+        bpe.BytePairCodec(str(tmp_path / "v.json"))
+    spec["model"]["ignore_merges"] = True
+    with pytest.raises(ValueError, match="model"):
+        bpe.unsupported(spec)
