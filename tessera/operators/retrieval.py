@@ -145,7 +145,47 @@ def section_parser(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.groupBy("doc_id", F.coalesce("section", F.lit("")).alias("section")).agg(F.min(F.col("k") + 1).alias("first_line"), F.count(F.lit(1)).alias("lines"))
 
 
-QUERIES = {f.__name__: f for f in (word_chunks, term_statistics, bm25_topk, vector_topk, hybrid_topk, context_pack, method_scan, condition_regex, relevance_triage, paper_rubric, section_parser)}
+def rerank(results: DataFrame, order: list[Column], k: int, score: Column | None = None) -> DataFrame:
+    """The k best of a short list of results (top-k, so one task holds it) by a model's score, else by their order, from 1 down by hundredths."""
+    ranked = results.withColumn("_rank", F.row_number().over(W.orderBy(*order)) - 1)
+    scored = ranked.withColumn("rerank", score if score is not None else 1.0 - 0.01 * F.col("_rank"))
+    return scored.orderBy(F.desc("rerank"), "_rank").limit(k).drop("_rank")
+
+
+def reranked_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rerank(bm25_topk(spark, sf_dir), [F.desc("score"), F.col("doc_id")], 10).select("doc_id", F.round("rerank", 6).alias("rerank"))
+
+
+def nearest_place(text: Column, value: Column, mention: Column) -> Column:
+    """Where (from 1) the value stands nearest to the first mention, the earlier of equals; its first place without a mention; null if it stands nowhere."""
+    at, n = F.instr(text, mention), F.char_length(value)
+    left, right = F.substring(text, F.lit(1), at - 1), F.substring(text, at, F.char_length(text))
+    back = F.instr(F.reverse(left), F.reverse(value))
+    before = F.when(back > 0, F.char_length(left) - back - n + 2)
+    after = F.when(F.instr(right, value) > 0, at + F.instr(right, value) - 1)
+    near = F.when(F.coalesce(at - before <= after - at, before.isNotNull()), before).otherwise(after)
+    return F.when((value != "") & F.contains(text, value), F.when(at > 0, F.coalesce(near, F.nullif(F.instr(text, value), F.lit(0)))).otherwise(F.nullif(F.instr(text, value), F.lit(0))))
+
+
+def evidence_window(text: Column, value: Column, mention: Column, width: int = 200) -> Column:
+    """struct(start, window): the place nearest to the mention, `width` characters before it and up to the first sentence end among those after it."""
+    start, n = nearest_place(text, value, mention), F.char_length(value)
+    lead = F.greatest(start - width, F.lit(1))
+    tail = F.substring(text, start + n, F.lit(width))
+    ended = F.when(F.contains(tail, F.lit(". ")), F.concat(F.substring_index(tail, ". ", 1), F.lit("."))).otherwise(tail)
+    return F.when(start.isNotNull(), F.struct(start.alias("start"), F.concat(F.substring(text, lead, start - lead), value, ended).alias("window")))
+
+
+def evidence_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's third word, nearest to its twelfth."""
+    d = table(spark, sf_dir, "documents").where("text is not null")
+    word = lambda k: F.coalesce(F.get(F.split("text", " "), F.lit(k)), F.lit(""))
+    own = d.select("doc_id", "text", word(2).alias("value"), word(11).alias("mention"))
+    w = own.select("doc_id", evidence_window(F.col("text"), F.col("value"), F.when(F.col("mention") != "", F.col("mention")).otherwise("\u0000")).alias("w"))
+    return w.where("w is not null").select("doc_id", "w.start", F.sha2("w.window", 256).alias("sha256"))
+
+
+QUERIES = {f.__name__: f for f in (reranked_topk, evidence_windows, word_chunks, term_statistics, bm25_topk, vector_topk, hybrid_topk, context_pack, method_scan, condition_regex, relevance_triage, paper_rubric, section_parser)}
 
 _SP = "[\\x20\\t\\n\\r\\f\\x0B]+"
 _W = f"list_filter(regexp_split_to_array({{t}}, '{_SP}'), lambda w: w <> '')"
@@ -156,6 +196,15 @@ SQL = {
     "word_chunks": f"with w as (select doc_id, {_W.format(t='text')} w from documents), c as (select doc_id, w, unnest(range(0, case when len(w) <= 500 then 1 else ceil((len(w) - 500) / 450)::bigint + 1 end)) i from w where len(w) > 0) select doc_id, i::int chunk_index, len(w[i * 450 + 1 : i * 450 + 500])::int n_words, md5(array_to_string(w[i * 450 + 1 : i * 450 + 500], ' ')) chunk_md5 from c",
     "term_statistics": f"select term, count(*) df, cast(sum(tf) as bigint) tf from (select doc_id, term, count(*) tf from (select doc_id, unnest({_W.format(t='lower(text)')}) term from documents) group by 1, 2) group by 1",
     "bm25_topk": f"with {_BM} select doc_id, score from b where score > 0 order by score desc, doc_id limit 20",
+    "reranked_topk": f"with {_BM}, t as (select doc_id, score from b where score > 0 order by score desc, doc_id limit 10) select doc_id, round(1 - 0.01 * (row_number() over (order by score desc, doc_id) - 1), 6)::double as rerank from t",
+    "evidence_windows": """
+    with o as (select doc_id, text, coalesce(string_split(text, ' ')[3], '') as v, coalesce(string_split(text, ' ')[12], '') as m from documents where text is not null),
+    p as (select *, case when m = '' then 0 else strpos(text, m) end as p, length(v) as n from o where v <> ''),
+    s as (select *, strpos(reverse(substr(text, 1, p - 1)), reverse(v)) as back, strpos(substr(text, p), v) as fore from p),
+    b as (select *, case when p > 0 and back > 0 then p - 1 - back - n + 2 end as before, case when p > 0 and fore > 0 then p + fore - 1 end as after from s),
+    c as (select *, coalesce(case when p - before <= after - p or after is null then before else after end, strpos(text, v)) as start from b),
+    w as (select *, greatest(start - 200, 1) as lead, substr(text, start + n, 200) as tail from c)
+    select doc_id, start::int as start, sha256(substr(text, lead, start - lead) || v || case when contains(tail, '. ') then split_part(tail, '. ', 1) || '.' else tail end) as sha256 from w""",
     "vector_topk": f"with {_V} select vec_id, round(distance, 6) distance from v order by v.distance, vec_id limit 20",
     "hybrid_topk": f"with {_BM}, {_V}, x as (select vec_id, distance from v order by distance, vec_id limit 60), y as (select doc_id vec_id, score from b order by score desc, doc_id limit 60), j as (select * from x full join y using (vec_id)), hy as (select vec_id, round(0.6 * case when distance is null then 0 else 1 - coalesce(distance / nullif((select max(distance) from j), 0), 0) end + 0.4 * coalesce(score / (select max(score) from j), 0), 6) hybrid from j) select * from hy order by hybrid desc, vec_id limit 20",
     "context_pack": "with r as (select conv_id, turn, length(text) n, sum(length(text)) over (partition by conv_id order by turn) total, row_number() over (partition by conv_id order by turn) k from conversations), s as (select *, min(case when total > 600 and k > 1 then k end) over (partition by conv_id) stop from r) select conv_id, turn, n::int n, total::bigint total from s where stop is null or k < stop",

@@ -12,6 +12,7 @@ from tessera.operators import evidence as ev
 from tessera.operators import lookups as lk
 from tessera.operators import normalization as nm
 from tessera.operators import ranks as rk
+from tessera.operators import retrieval as rt
 
 
 def many(spark, rows, schema, column):
@@ -177,3 +178,11 @@ def test_agreement_without_pairs(spark):
         if scores:
             want[k] = (len(scores), pytest.approx(sum(scores) / len(scores), abs=1e-9))
     assert got == want
+
+
+def test_places_near_mentions(spark):
+    rows = [("v m v", "v", "m", 1), ("v  m v", "v", "m", 6), ("m xx vv", "vv", "m", 6), ("a v", "v", "m", 3), ("a", "v", "m", None), ("", "v", "m", None), (None, "v", "m", None), ("vmv é v", "v", "é", 3)]
+    got = many(spark, [r[:3] for r in rows], "t string, v string, m string", rt.nearest_place(F.col("t"), F.col("v"), F.col("m")))
+    assert got == [r[3] for r in rows]
+    w = many(spark, [("One. Two 5 three. Four 5.", "5", "three"), ("none", "5", "x")], "t string, v string, m string", rt.evidence_window(F.col("t"), F.col("v"), F.col("m"), 6))
+    assert (w[0]["start"], w[0]["window"], w[1]) == (10, ". Two 5 three", None)
