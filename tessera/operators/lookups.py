@@ -95,8 +95,8 @@ def verified_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def material_sigma(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """For every part the first consensus group of the same reduced formula that has values."""
-    groups = table(spark, sf_dir, "lineitem").groupBy("l_partkey").agg(F.count_if(F.col("l_discount") > 0.05).alias("n_sigma"), F.round(F.sum(F.round(F.col("l_extendedprice") * 100).cast("long")) / F.count("l_extendedprice") / 100, 6).alias("sigma"))  # in whole cents, so that the sum has no order
+    """For every part the first consensus group of the same reduced formula that has values, and the sum of its values."""
+    groups = table(spark, sf_dir, "lineitem").groupBy("l_partkey").agg(F.count_if(F.col("l_discount") > 0.05).alias("n_sigma"), F.sum(F.round(F.col("l_extendedprice") * 100).cast("long")).alias("sigma"))  # summed in whole cents, so that the sum has no order
     keyed = by_reduced_formula(groups.withColumn("formula", formula_of(F.col("l_partkey"))), "formula").where("n_sigma > 0")
     first = keyed.groupBy("reduced").agg(F.min(F.struct("l_partkey", "sigma")).alias("m"))
     own = by_reduced_formula(parts(spark, sf_dir).select("p_partkey", "formula"), "formula")
@@ -172,7 +172,7 @@ SQL = {
     select l_orderkey, l_linenumber, i.l_partkey as comp, coalesce(e.r, q.r) as hit from lineitem i left join e using (l_partkey, l_suppkey) left join q on q.l_partkey = i.l_partkey and q.d = printf('%.6g', i.l_quantity) where i.l_returnflag = 'N'""",
     "material_sigma": f"""
     with r as ({SQL_REDUCED.format(source=_F)}), k as (select p_partkey, reduced from {SQL_PARTS} join r using (formula)),
-    g as (select l_partkey, count(*) filter (l_discount > 0.05) as n, round(sum(round(l_extendedprice * 100)::bigint)::double / count(l_extendedprice) / 100, 6) as sigma from lineitem group by 1),
+    g as (select l_partkey, count(*) filter (l_discount > 0.05) as n, sum(round(l_extendedprice * 100)::bigint)::bigint as sigma from lineitem group by 1),
     -- records name parts that may not stand in the table of parts
     gk as (select l_partkey, sigma, reduced from (select *, {sql_formula('l_partkey')} as formula from g where n > 0) join ({SQL_REDUCED.format(source=f"(select distinct {sql_formula('l_partkey')} as formula from lineitem)")}) using (formula)),
     m as (select reduced, min(l_partkey) as source, arg_min(sigma, l_partkey) as sigma from gk group by 1)
