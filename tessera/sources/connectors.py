@@ -24,7 +24,7 @@ LATTICE = ("a", "b", "c", "alpha", "beta", "gamma")
 _LATTICE = "struct<a:double,b:double,c:double,alpha:double,beta:double,gamma:double>"
 #: Families that are candidates whatever metals they hold, and the metals of intercalation cathodes.
 ALWAYS_CANDIDATES = ("garnet", "perovskite", "nasicon", "sulfide", "argyrodite", "halide", "hydride", "borohydride", "antiperovskite", "polymer_composite")
-CATHODE_METALS = ("Co", "Mn", "Ni")
+CATHODE_METALS = ("Co", "Mn", "Ni", "Fe")
 
 
 def read_landed(spark: SparkSession, path: str) -> DataFrame:

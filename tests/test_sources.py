@@ -98,6 +98,12 @@ def test_connectors(spark):
     assert got["materials_project"].band_gap == 2.5 and got["materials_project"].space_group == "R-3m"
 
 
+def test_candidates(spark):
+    rows = [(["Li", "Fe", "P", "O"], "oxide", False), (["Li", "Fe", "O"], "garnet", True), (["Li", "Zr", "O"], "oxide", True), (["Na", "Cl"], "halide", False), (["Li", "Mn"], "unknown", False), ([], "unknown", False), (None, "x", False)]
+    df = spark.createDataFrame(rows, "e array<string>, f string, want boolean")
+    assert all(r.got == r.want for r in df.select("want", cn.is_candidate(F.col("e"), F.col("f")).alias("got")).collect())
+
+
 def test_ingest_keeps_one_record_an_id(spark):
     twice = spark.createDataFrame([(json.dumps(PAYLOADS["oqmd"] | {"name": n}),) for n in "ba"] + [("bad",)], "payload string")
     out = cn.ingest({"oqmd": twice, "nomad": spark.createDataFrame([(json.dumps(PAYLOADS["nomad"]),)], "payload string")})
