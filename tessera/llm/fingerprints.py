@@ -138,8 +138,9 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
     numbers = lasts.select("range").withColumn("next", F.coalesce(F.lead("range").over(W.orderBy("range")), F.first("range").over(W.orderBy("range"))))
     texts_of = firsts.select(F.col("range").alias("next"), F.col("text").alias("following"))
     pairs = lasts.join(numbers, "range").join(texts_of, "next").select("doc_id", F.col("text").alias("own"), F.col("following").alias("text"))
-    rows = inner.unionByName(arrow_map(pairs, _paired, SCHEMA)).drop("range", "end", "text")
-    split = split_digests(docs, inner)
+    paired = written(arrow_map(pairs, _paired, SCHEMA), "paired")
+    rows = inner.unionByName(paired).drop("range", "end", "text")
+    split = split_digests(docs, rows)  # the ranges' last rows too
     if not split.limit(1).count():
         return rows.select(*RESULT)
     for name, sha in (("fingerprint", "own_sha"), ("edited_fingerprint", "edited_sha")):

@@ -54,6 +54,15 @@ def test_a_collision_renames_every_text_of_the_digest(spark, monkeypatch):
     assert len(set(names.values())) == len(names)
 
 
+@pytest.mark.parametrize("rows", [[(2, "ab"), (1, "ac")], [(1, "abcdef")]])
+def test_the_last_row_of_a_range_collides(spark, monkeypatch, rows):
+    """Its own text with another row's, and its edited text with its own: it is judged apart from the rows of its range."""
+    monkeypatch.setattr(fp, "digest", lambda data: data[:1].hex())
+    got = _in_process(spark, rows)
+    names = {r.fingerprint for r in got} | {r.edited_fingerprint for r in got}
+    assert names == {f"61-{hashlib.sha256(t).hexdigest()}" for t in ([b"ab", b"ac"] if len(rows) == 2 else [b"abcdef", b"abcdab"])}
+
+
 def _in_process(spark, rows):
     """compare_with_next with the steps of Python run here, so that a patched digest holds."""
     def here(df, fn, schema):
