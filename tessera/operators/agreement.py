@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tessera.functions.units import agreement
-from tessera.operators.ranks import exact_quantiles
-from tessera.session import table
+from tessera.operators.ranks import running_totals
+from tessera.session import table, written
+
+#: Parts of a doubling in logarithms, those by which two of them may be wrong together, and the most pairs of distinct values made at once.
+OCTAVE, SLACK, PAIRS = 1 << 40, 16, 4_000_000
 
 
 def near_pairs(df: DataFrame, keys: list[str], value: str, row: str, width: float) -> DataFrame:
@@ -31,18 +36,6 @@ def as_of(left: DataFrame, right: DataFrame, key: str, at: str, payload: list[st
     return found.select("row.*", *[F.col(f"seen.{p}").alias(p) for p in payload])
 
 
-def _sides(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Materials of two sources (odd and even keys) by brand and type."""
-    p = table(spark, sf_dir, "part").select("p_partkey", F.concat_ws("/", "p_brand", "p_type").alias("formula"), "p_size", "p_retailprice")
-    a = p.where("p_partkey % 2 = 1").select("formula", F.col("p_partkey").alias("a_key"), F.col("p_size").alias("a_size"), F.col("p_retailprice").alias("a_price"))
-    b = p.where("p_partkey % 2 = 0").select("formula", F.col("p_partkey").alias("b_key"), F.col("p_size").alias("b_size"), F.col("p_retailprice").alias("b_price"))
-    return a.join(b, "formula")
-
-
-def _score() -> Column:
-    return (agreement(F.col("a_size"), F.col("b_size"), 20.0) + agreement(F.col("a_price"), F.col("b_price"), 0.5, relative=True)) / 2
-
-
 def _mean_over_partners(rows: DataFrame) -> DataFrame:
     """partners, score of every row (formula, side, key, size, price > 0): the mean agreement with all rows of the other side, without a pair.
 
@@ -78,11 +71,99 @@ def agreement_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cross_source_agreement(spark, sf_dir).withColumn("rank", F.row_number().over(w))
 
 
+def _ranked(known: dict, ranks: list[int]) -> dict:
+    """For each rank the last edge that no more pairs are nearer than, and the first that more are nearer than (None: no such edge)."""
+    return {j: (max(e for e in known if known[e][0] <= j), min((e for e in known if known[e][0] > j), default=None)) for j in ranks}
+
+
+def relative_agreement_at(counts: DataFrame, ranks: list[int], tolerance: float = 0.5, most: int = PAIRS) -> dict[int, float]:
+    """For each rank (from 0, the nearest first) the relative agreement of the pair of a side 1 and a side 2 row there; 0 beyond the tolerance.
+
+    counts: formula, side, v (finite), n (rows of that value). The agreement falls with the difference of logarithms, so that the pairs
+    nearer than an edge are differences of running sums. Edges close in on each rank until at most `most` pairs of
+    distinct values lie between two of them; only those are made. Logarithms are whole parts of a doubling;
+    pairs of SLACK parts beyond the edges are made too, so that their order is that of the agreements themselves.
+    Values nearer to 0 than 1e-12 count as 0.
+    """
+    end = math.ceil(-math.log2(1 - tolerance) * OCTAVE) + SLACK
+    size = F.abs("v")
+    x = F.when(size < 1e-12, 0).otherwise(F.round(F.log2(size) * OCTAVE)).cast("long")
+    rows = written(counts.select("formula", F.when(size < 1e-12, 0).otherwise(F.signum("v")).cast("int").alias("sign"), "side", "v", x.alias("x"), "n"), "logarithms")
+    w = W.partitionBy("formula", "sign").orderBy("x")
+
+    def nearer(edges: list[int]) -> dict:
+        """edge: pairs nearer than it, and pairs of distinct values."""
+        weights = {"many": F.col("n"), "one": F.lit(1).cast("long")}
+        upto = lambda c, bound: F.coalesce(F.sum(c).over(w.rangeBetween(W.unboundedPreceding, bound)), F.lit(0))
+        sides = rows.withColumns({c: F.when(F.col("side") == 2, v).otherwise(0) for c, v in weights.items()})
+        within = sides.withColumns({f"{c}{k}": upto(c, e - 1) - upto(c, -e) for c in weights for k, e in enumerate(edges)}).where("side = 1")
+        sums = within.agg(*[F.coalesce(F.sum(v * F.col(f"{c}{k}")), F.lit(0)) for k in range(len(edges)) for c, v in weights.items()]).head()
+        return {e: (sums[2 * k], sums[2 * k + 1]) for k, e in enumerate(edges)}
+
+    known = {0: (0, 0)} | nearer([end])
+    while True:
+        wide = {(lo, hi) for lo, hi in _ranked(known, ranks).values() if hi and hi - lo > SLACK and known[hi][1] - known[lo][1] > most}
+        if not wide:
+            break
+        cuts = max(8, 32 // len(wide))
+        known |= nearer(sorted({lo + (hi - lo) * k // cuts for lo, hi in wide for k in range(1, cuts)} - known.keys()))
+
+    found, places = {}, _ranked(known, ranks)
+    for lo, hi in set(places.values()):
+        inside = [j for j in ranks if places[j] == (lo, hi)]
+        if hi is None:
+            found |= dict.fromkeys(inside, 0.0)
+        elif known[hi][1] - known[lo][1] > most:  # these agree to SLACK parts
+            found |= dict.fromkeys(inside, max(0.0, 1 - (1 - 2 ** (-lo / OCTAVE)) / tolerance))
+        else:
+            first, last = max(lo - SLACK, 0), hi + SLACK  # distances from first, up to but not last
+            bin_of = lambda c: c - F.pmod(c, F.lit(last - first))
+            bins = [F.sequence(bin_of(F.col("x") + a), bin_of(F.col("x") + b), F.lit(last - first)) for a, b in ((first, last - 1), (1 - last, -first))]
+            left = rows.where("side = 1").select("formula", "sign", F.col("v").alias("a"), F.col("x").alias("ax"), F.col("n").alias("an"), F.explode(F.array_distinct(F.concat(*bins))).alias("bin"))
+            right = rows.where("side = 2").select("formula", "sign", F.col("v").alias("b"), F.col("x").alias("bx"), F.col("n").alias("bn"), bin_of(F.col("x")).alias("bin"))
+            gap = F.abs(F.col("ax") - F.col("bx"))
+            pairs = left.join(right, ["formula", "sign", "bin"]).where((gap >= first) & (gap < last)).select(F.when(F.col("sign") == 0, 0.0).otherwise(F.col("a")).alias("a"), F.when(F.col("sign") == 0, 0.0).otherwise(F.col("b")).alias("b"), gap.alias("gap"), (F.col("an") * F.col("bn")).alias("n"))
+            values = written(pairs.groupBy((-agreement(F.col("a"), F.col("b"), tolerance, relative=True)).alias("v")).agg(F.sum("n").alias("n"), F.sum(F.when(F.col("gap") < lo, F.col("n")).otherwise(0)).alias("before")), "agreements")
+            start = known[lo][0] - values.agg(F.sum("before")).head()[0]  # pairs nearer than first
+            at = F.filter(F.array(*[F.lit(j - start).cast("long") for j in inside]), lambda r: (r < F.col("until")) & (r >= F.col("until") - F.col("n")))
+            totals = running_totals(values.select("v", "n"), "v", "n")
+            found |= {r["rank"] + start: abs(r["v"]) for r in totals.select("v", F.explode(at).alias("rank")).collect()}  # a row per rank
+    return found
+
+
 def agreement_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    j = _sides(spark, sf_dir)
-    props = F.explode(F.array(F.struct(F.lit("size").alias("p"), agreement(F.col("a_size"), F.col("b_size"), 20.0).alias("s")), F.struct(F.lit("price").alias("p"), agreement(F.col("a_price"), F.col("b_price"), 0.5, relative=True).alias("s"))))
-    g = exact_quantiles(j.select(props.alias("x")).select(F.col("x.p").alias("property"), F.col("x.s").alias("s")), ["property"], "s", (0.25, 0.5, 0.75, 0.95))
-    return g.select("property", "n", *[F.round(F.col("q")[k], 6).alias(f"p{v}") for k, v in enumerate((25, 50, 75, 95))])
+    """Quantiles of the agreement of all pairs of materials of two sources (odd and even keys) with equal brand and type, from counted values."""
+    p = table(spark, sf_dir, "part").select(F.concat_ws("/", "p_brand", "p_type").alias("formula"), F.when(F.col("p_partkey") % 2 == 1, 1).when(F.col("p_partkey") % 2 == 0, 2).alias("side"), F.col("p_size").cast("long").alias("size"), F.col("p_retailprice").cast("double").alias("price")).where("side is not null")
+    prices = written(p.groupBy("formula", "side", F.col("price").alias("v")).agg(F.count(F.lit(1)).alias("n")), "prices")
+    sizes = written(p.where("size is not null").groupBy("formula", "side", "size").agg(F.count(F.lit(1)).alias("n")), "sizes")
+    finite = F.abs("v") < math.inf  # not NaN either, which is above all
+    kinds = {"all": F.lit(True), "some": F.col("v").isNotNull(), "finite": finite}
+    by_side = prices.groupBy("formula").agg(*[F.sum(F.when((F.col("side") == s) & test, F.col("n")).otherwise(0)).alias(f"{k}{s}") for k, test in kinds.items() for s in (1, 2)])
+    n, some, fine = (x or 0 for x in by_side.agg(*[F.sum(F.col(f"{k}1") * F.col(f"{k}2")) for k in kinds]).head())
+    if not n:
+        return spark.createDataFrame([], "property string, n long, p25 double, p50 double, p75 double, p95 double")
+    places = [(math.floor(q * (n - 1)), math.ceil(q * (n - 1)), q * (n - 1)) for q in (0.25, 0.5, 0.75, 0.95)]
+    ranks = sorted({n - 1 - k for low, high, _ in places for k in (low, high)})  # from the top
+
+    # null agrees with nothing; what isn't finite gives NaN, the highest
+    strange = some - fine
+    priced = relative_agreement_at(prices.where(finite), [j - strange for j in ranks if j >= strange])
+    price = {j: math.nan if j < strange else priced[j - strange] for j in ranks}
+
+    a = sizes.where("side = 1").select("formula", F.col("n").alias("an"), F.explode(F.sequence(F.lit(-19), F.lit(19))).alias("gap"), "size").withColumn("size", F.col("size") + F.col("gap"))
+    b = sizes.where("side = 2").select("formula", "size", "n")
+    gaps = a.join(b, ["formula", "size"]).groupBy(F.abs("gap").alias("gap")).agg(F.sum(F.col("an") * F.col("n")).alias("n"))
+    until, size = 0, dict.fromkeys(ranks, 0.0)
+    for gap, m in sorted(map(tuple, gaps.collect())):  # 20 rows at most
+        size |= {j: max(0.0, 1 - gap / 20.0) for j in ranks if until <= j < until + m}
+        until += m
+
+    def row(name: str, at: dict) -> Column:
+        low_high = [(at[n - 1 - low], at[n - 1 - high], place - low) for low, high, place in places]
+        quantiles = [F.round(F.lit(low + (high - low) * share), 6).alias(f"p{q}") for (low, high, share), q in zip(low_high, (25, 50, 75, 95))]
+        return F.struct(F.lit(name).alias("property"), F.lit(n).cast("long").alias("n"), *quantiles)
+
+    return spark.range(1).select(F.inline(F.array(row("size", size), row("price", price))))
 
 
 def conflict_self_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,14 @@
 
 from __future__ import annotations
 
+import random
+
+import duckdb
+import numpy as np
+import pytest
+from oracle import differences
+
+from tessera.operators import agreement
 from tessera.plans import registry
 
 QUERIES = registry.queries()
@@ -89,3 +97,23 @@ def test_evidence_of_whole_texts(spark, tmp_path):
     talks = ("conv_id long, text string", [(1, short), (51, long), (2, "b" * 60), (52, "c" * 60), (2, None)])
     got = QUERIES["evidence_attach"](spark, tables(spark, tmp_path, orders=orders, conversations=talks)).collect()
     assert {r["o_orderkey"]: r["snippet"] for r in got} == {1: long, 2: "c" * 60, 3: None}
+
+
+def test_agreement_percentiles_without_pairs(spark, tmp_path):
+    """Odd prices and sizes against SQL, and two million pairs of one formula, of which few are made, against all of them."""
+    r = random.Random(3)
+    odd = [None, 0.0, 0.0, -5.0, -7.5, 1e-9, 3e15, float("nan"), float("inf")]
+    rows = [(k, f"B{k % 3}", "T", r.choice([None, *range(-5, 60)]), r.choice(odd) if k % 9 == 0 else round(r.uniform(0.5, 90), r.choice([0, 2, 9]))) for k in range(400)] + [(None, "B1", "T", 1, 1.0)]
+    path = str(tmp_path / "part.parquet")
+    spark.createDataFrame(rows, "p_partkey long, p_brand string, p_type string, p_size int, p_retailprice double").coalesce(1).write.parquet(path)
+    con = duckdb.connect()
+    con.sql(f"create view part as select * from '{path}/*.parquet'")
+    assert not differences(agreement.agreement_percentiles(spark, str(tmp_path)), con, agreement.SQL["agreement_percentiles"])
+
+    values = np.random.default_rng(5).uniform(900, 2900, (2, 1500)).round(3)
+    counts = spark.createDataFrame([("f", s + 1, float(v), 1) for s in (0, 1) for v in values[s]], "formula string, side int, v double, n long")
+    a, b = values[0][:, None], values[1][None, :]
+    want = np.sort(np.maximum(0, 1 - np.abs(a - b) / np.maximum(a, b) / 0.5).ravel())[::-1]
+    ranks = [0, 1, 5000, 562_499, 1_124_999, 1_700_000, len(want) - 1]
+    got = agreement.relative_agreement_at(counts, ranks, most=3000)
+    assert [got[j] for j in ranks] == pytest.approx([want[j] for j in ranks], abs=1e-13)
