@@ -6,12 +6,14 @@ copies costs nothing). Representatives are hashed into bands; bands x rows are c
 shares a band with probability TARGET_RECALL. A band that two or more representatives share is led by the smallest; the leader of a
 representative is the smallest one that leads any of its bands.
 
-Only representatives that share a band have their n-gram sets moved. Those of one leader are dealt into blocks of about BLOCK
-representatives and BLOCK_BYTES of sets. Two blocks are compared if some band holds representatives of both: blocks meet in bands, never
-representatives, and blocks that only a chain of bands joins are not compared. Each such pair of blocks is a group of rows, and in it all set sizes and
-overlaps are computed as matrix products: a row comes out per representative and group, with the number of its links and the
-smallest representative it is linked to, never a row per pair. No bucket is capped: a band of m representatives costs (m / BLOCK)^2
-groups, which is the work of comparing them all. Groups are numbered and dealt to tasks by number. The verified links give the classes.
+Only representatives that share a band have their n-gram sets moved. Leaders follow their own leaders HOPS times, so that the fragments of a large
+group come together; the representatives of such a head are dealt into tiles of about BLOCK
+representatives and BLOCK_BYTES of sets, at most TILES tiles, which grow with a larger group. Two tiles are compared if some band holds representatives of both: tiles meet in
+bands, never representatives, and tiles that only a chain of bands joins are not compared. Each such pair of tiles is a group of rows, and in it all set sizes and
+overlaps are computed as matrix products, a block of each tile at a time (sets beyond BLOCK_BYTES wait in a temporary file of the task): a row comes out per representative and
+group, with the number of its links and the smallest representative that links lead to, never a row per pair. No bucket is capped: a set of a group of m representatives is
+moved at most TILES times for its head, whatever m; comparing them all stays work in the square of m, inside the tasks.
+Groups are numbered and dealt to tasks by number. The verified links give the classes.
 
 Result: a row per document with class_id, the smallest doc_id of its class, and n_links, the number of other
 documents at the threshold or over, copies included.
@@ -23,6 +25,7 @@ document in one class; a row without a doc_id takes no part, its class_id is nul
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,6 +43,8 @@ TARGET_RECALL = 0.999999
 ROWS = 6
 BLOCK = 128
 BLOCK_BYTES = 32 << 20
+#: Tiles of a head at most, and how often leaders follow their leaders.
+TILES, HOPS = 16, 2
 SEED = 7
 COLUMNS = 8192
 
@@ -135,46 +140,100 @@ def linked(left: list[np.ndarray], right: list[np.ndarray], threshold: float) ->
     return common * 1_000_000 >= union * round(threshold * 1_000_000)
 
 
-def _verify(threshold: float):
-    """Rows of a group (a pair of blocks) lie together; sides: 1 in the first block, 2 in the second, 3 where both are one."""
-
-    def judged(rows: dict[tuple[int, bytes], tuple[int, int]]) -> pa.RecordBatch:
-        left = [(v, copies, grams) for (v, grams), (side, copies) in rows.items() if side & 1]
-        right = [(v, copies, grams) for (v, grams), (side, copies) in rows.items() if side & 2]
-        vl, vr = (np.array([r[0] for r in x], dtype=np.int64) for x in (left, right))
-        cl, cr = (np.array([r[1] for r in x], dtype=np.int64) for x in (left, right))
-        sets = [[np.frombuffer(r[2], dtype=np.uint64) for r in x] for x in (left, right)]
-        hits = linked(*sets, threshold) if left and right else np.zeros((len(left), len(right)), dtype=bool)
-        hits &= vl[:, None] != vr[None, :]
-        # the smallest id that links lead to inside the group, until none falls
-        al, ar = vl.copy(), vr.copy()
-        far = np.iinfo(np.int64).max
-        while True:
-            ids = np.unique(np.concatenate([vl, vr]))
-            low = np.full(len(ids), far)
-            np.minimum.at(low, np.searchsorted(ids, vl), np.minimum(al, np.where(hits, ar[None, :], far).min(axis=1, initial=far)))
-            np.minimum.at(low, np.searchsorted(ids, vr), np.minimum(ar, np.where(hits, al[:, None], far).min(axis=0, initial=far)))
-            bl, br = low[np.searchsorted(ids, vl)], low[np.searchsorted(ids, vr)]
-            if (bl == al).all() and (br == ar).all():
-                break
-            al, ar = bl, br
-        out = [(v, n, low) for v, n, low in zip(vl.tolist(), (hits @ cr).tolist(), al.tolist()) if n]
-        if any(side != 3 for side, _ in rows.values()):  # two blocks; within one, left is right
-            out += [(v, n, low) for v, n, low in zip(vr.tolist(), (hits.T @ cl).tolist(), ar.tolist()) if n]
+class _Group:
+    """The rows of a pair of tiles; sides: 1 in the first tile, 2 in the second, 3 where both are one."""
+
+    def __init__(self) -> None:
+        self.seen, self.v, self.copies, self.side, self.size = set(), [], [], [], []
+        self.sets = tempfile.SpooledTemporaryFile(max_size=BLOCK_BYTES)
+
+    def add(self, v: int, side: int, copies: int, grams: bytes) -> None:
+        key = v, xxhash.xxh3_128_digest(grams)
+        if key in self.seen:
+            return
+        self.seen.add(key)
+        self.sets.write(grams)
+        for column, x in ((self.v, v), (self.copies, copies), (self.side, side), (self.size, len(grams))):
+            column.append(x)
+
+    def blocks(self, side: int) -> list[np.ndarray]:
+        """The numbers of the rows of a side, in blocks by rows and bytes."""
+        out, taken = [], 0
+        for k in (k for k, s in enumerate(self.side) if s & side):
+            if not out or len(out[-1]) >= BLOCK or taken + self.size[k] > BLOCK_BYTES:
+                out.append([])
+                taken = 0
+            out[-1].append(k)
+            taken += self.size[k]
+        return [np.array(x) for x in out]
+
+    def loaded(self, block: np.ndarray) -> list[np.ndarray]:
+        out = []
+        for k in block.tolist():
+            self.sets.seek(int(self.start[k]))
+            out.append(np.frombuffer(self.sets.read(self.size[k]), dtype=np.uint64))
+        return out
+
+    def judged(self, threshold: float) -> pa.RecordBatch:
+        self.start = np.concatenate([[0], np.cumsum(self.size, dtype=np.int64)])
+        v, copies = np.array(self.v, dtype=np.int64), np.array(self.copies, dtype=np.int64)
+        links = np.zeros(len(v), dtype=np.int64)
+        parent = {x: x for x in self.v}
+
+        def find(x: int) -> int:
+            while parent[x] != x:
+                parent[x] = x = parent[parent[x]]
+            return x
+
+        one = all(s == 3 for s in self.side)
+        rights = self.blocks(2)
+        for i, left in enumerate(self.blocks(1)):
+            own = self.loaded(left)
+            for right in rights[i:] if one else rights:  # within one tile the blocks of both sides are the same
+                same = one and right is rights[i]
+                hits = linked(own, own if same else self.loaded(right), threshold) & (v[left][:, None] != v[right][None, :])
+                links[left] += hits @ copies[right]
+                if not same:
+                    links[right] += hits.T @ copies[left]
+                for x, low in zip(np.concatenate([v[left], v[right]]).tolist(), np.concatenate(_lowest(hits, v[left], v[right])).tolist()):
+                    x, low = sorted((find(x), find(low)))
+                    parent[low] = x
+        out = [(x, n, find(x)) for x, n in zip(self.v, links.tolist()) if n]
         columns = list(zip(*out)) if out else [[], [], []]
         return pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in columns], names=["v", "links", "low"])
 
+
+def _lowest(hits: np.ndarray, vl: np.ndarray, vr: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For the rows of both sides the smallest id that hits lead to: until none falls."""
+    al, ar = vl.copy(), vr.copy()
+    far = np.iinfo(np.int64).max
+    ids = np.unique(np.concatenate([vl, vr]))
+    while True:
+        low = np.full(len(ids), far)
+        np.minimum.at(low, np.searchsorted(ids, vl), np.minimum(al, np.where(hits, ar[None, :], far).min(axis=1, initial=far)))
+        np.minimum.at(low, np.searchsorted(ids, vr), np.minimum(ar, np.where(hits, al[:, None], far).min(axis=0, initial=far)))
+        bl, br = low[np.searchsorted(ids, vl)], low[np.searchsorted(ids, vr)]
+        if (bl == al).all() and (br == ar).all():
+            return al, ar
+        al, ar = bl, br
+
+
+def _verify(threshold: float):
+    """Rows of a group (a pair of tiles) lie together."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, rows = None, {}
+        group, rows = None, _Group()
         for batch in batches:
             for pair, v, side, copies, grams in zip(*(batch.column(k).to_pylist() for k in ("pair", "v", "side", "copies", "grams"))):
                 if pair != group:
-                    if len(rows) > 1:
-                        yield judged(rows)
-                    group, rows = pair, {}
-                rows[v, grams] = (side, copies)
-        if len(rows) > 1:
-            yield judged(rows)
+                    if len(rows.v) > 1:
+                        yield rows.judged(threshold)
+                    rows.sets.close()
+                    group, rows = pair, _Group()
+                rows.add(v, side, copies, grams)
+        if len(rows.v) > 1:
+            yield rows.judged(threshold)
+        rows.sets.close()
 
     return run
 
@@ -207,10 +266,18 @@ def jaccard_classes(docs: DataFrame, threshold: float = THRESHOLD, n: int = N, r
     members = written(reps.join(shared, "band"), "members")
     own = members.groupBy("v").agg(F.min("a").alias("leader")).join(named.groupBy("v").agg(F.max("copies").alias("copies"), F.sum("size").alias("size")), "v")
     own = written(own, "leaders")
-    count = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("size") * 8 / BLOCK_BYTES)).cast("int")
-    parts = own.groupBy("leader").agg(count.alias("parts"))
-    part = F.pmod(F.xxhash64(F.lit(SEED), "v"), F.col("parts")).cast("int")
-    active = written(own.join(parts, "leader").select("v", "leader", part.alias("part"), "copies"), "active")
+    heads = own.select("leader").distinct().withColumn("head", F.col("leader"))
+    up = own.select(F.col("v").alias("head"), F.col("leader").alias("up"))
+    for _ in range(HOPS):
+        heads = written(up.join(small(heads), "head").select("leader", F.col("up").alias("head")), "heads")
+    own = written(own.join(small(heads), "leader").select("v", "leader", "head", "copies", "size"), "headed")
+    # representatives of one leader stay together where they fit into a tile
+    count = F.least(F.lit(TILES), F.greatest(F.ceil(F.sum("n") / BLOCK), F.ceil(F.sum("size") * 8 / BLOCK_BYTES))).cast("int")
+    led = own.groupBy("head", "leader").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("size"))
+    parts = led.groupBy("head").agg(count.alias("parts"))
+    led = led.join(parts, "head").select("leader", "parts", ((F.col("n") <= BLOCK) & (F.col("size") * 8 <= BLOCK_BYTES)).alias("together"))
+    part = F.pmod(F.xxhash64(F.lit(SEED), F.when(F.col("together"), F.col("leader")).otherwise(F.col("v"))), F.col("parts")).cast("int")
+    active = written(own.join(small(led), "leader").select("v", F.col("head").alias("leader"), part.alias("part"), "copies"), "active")
     pairs = written(block_pairs(members, active.select("v", "leader", "part")), "block-pairs")
     sets = _sets(texts(docs).join(small(active), F.col("doc_id") == F.col("v")).select("v", "leader", "part", "copies", "text"), n)
     tasks = partitions(spark)

@@ -103,3 +103,47 @@ def test_very_long_texts_and_blocks_by_bytes(spark, monkeypatch):
     rows = [(k, " ".join(base[: 100_000 - 40 * k])) for k in range(5)] + [(k, " ".join(base[k : k + 90_000])) for k in (10, 20)]
     got = nd.jaccard_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted((x.doc_id, x.class_id, x.n_links) for x in got) == [(d, 0, 6) for d, _ in rows]
+
+
+def _copies(count, edits=6):
+    """Texts of 60 words of one base with a few words replaced each, so that about half of the pairs are links."""
+    r = random.Random(count)
+    base = [f"w{k}" for k in range(60)]
+    return [(k, " ".join(f"x{r.randrange(10**6)}" if j in where else w for j, w in enumerate(base))) for k in range(count) for where in [set(r.sample(range(57, 60), r.randint(0, 3))) | set(r.sample(range(60), r.choice([0, 0, 1, edits])))]]
+
+
+def test_moved_sets_grow_with_a_group_not_with_its_square(spark, monkeypatch):
+    monkeypatch.setattr(nd, "BLOCK", 4)
+    monkeypatch.setattr(nd, "TILES", 4, raising=False)
+    moved, keep = [], nd.arrow_map
+
+    def counted(df, fn, schema):
+        if schema == "v long, links long, low long":
+            moved.append(df.count())
+        return keep(df, fn, schema)
+
+    monkeypatch.setattr(nd, "arrow_map", counted)
+    for count in (60, 240):
+        rows = _copies(count)
+        got = nd.jaccard_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+        assert sorted((x.doc_id, x.class_id, x.n_links) for x in got) == brute(rows)
+    assert moved[1] <= 6 * moved[0]
+
+
+@pytest.mark.parametrize("one", [True, False])
+def test_blocks_of_a_pair_of_tiles(monkeypatch, one):
+    """Many blocks a tile, sets in the temporary file: links and components as from all pairs at once; a row that comes twice counts once."""
+    monkeypatch.setattr(nd, "BLOCK", 7)
+    monkeypatch.setattr(nd, "BLOCK_BYTES", 2000)
+    rows = [(k + 1, 3 if one else 1 + k % 2, 1 + k % 3, nd.gram_set(t)) for k, (_, t) in enumerate(_copies(80))]
+    group = nd._Group()
+    for v, side, copies, grams in rows + rows[:5]:
+        group.add(v, side, copies, grams.tobytes())
+    got = {r["v"]: r for r in group.judged(0.8).to_pylist()}
+    sides = {v: side for v, side, *_ in rows}
+    met = lambda a, b: a != b and (one or sides[a] != sides[b])
+    near = {a: [(b, c) for b, _, c, y in rows if met(a, b) and 5 * len(np.intersect1d(x, y)) >= 4 * len(np.union1d(x, y))] for a, _, _, x in rows}
+    low = {a: a for a in near}
+    for _ in near:
+        low = {a: min([low[a], *(low[b] for b, _ in near[a])]) for a in near}
+    assert {a: (sum(c for _, c in x), low[a]) for a, x in near.items() if x} == {v: (r["links"], r["low"]) for v, r in got.items()}
